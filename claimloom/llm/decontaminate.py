@@ -179,6 +179,16 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW) ->
     )
 
 
+def clean(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW) -> DataFrame:
+    """The rows of docs, with all their columns, that aren't contaminated."""
+    names = docs.columns
+    key = F.coalesce(F.col("doc_id").cast("long"), F.lit(-(2**63)))
+    found = hits(PositionalIndex(keyed(docs), benchmark, width)).select(F.col("doc").alias("_doc"), F.col("part").alias("_part"), F.col("n_hit").alias("_hit"))
+    rows = docs.withColumn("_doc", key).withColumn("_part", F.xxhash64(F.col("doc_id").isNull(), "text"))
+    rows = rows.join(materialise(found), ["_doc", "_part"], "left")
+    return rows.where(F.col("_hit").isNull() | (SHARE * F.col("_hit") < F.size(words_of(F.col("text"))))).select(*names)
+
+
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Contract columns: doc_id, n_words, n_hit, n_items, items_sha256, contaminated."""
     out = decontaminate(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark").select("item_id", "text"))

@@ -339,3 +339,14 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = LineIndex.build(docs).apply(docs)
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce(F.col("text"), F.lit("")), 256).alias("kept_sha256"))
 
+
+ORACLE = r"""
+WITH l AS (
+  SELECT rowid AS r, doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line, unnest(range(len(string_split(coalesce(text, ''), chr(10))))) AS i
+  FROM (SELECT row_number() OVER () AS rowid, doc_id, text FROM documents)),
+k AS (
+  SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS k FROM l),
+hot AS (SELECT k FROM k WHERE k <> '' GROUP BY k HAVING count(DISTINCT r) >= 10)
+SELECT any_value(k.doc_id) AS doc_id, count(*) AS n_lines, count(hot.k) AS n_dropped, sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE hot.k IS NULL), '')) AS kept_sha256
+FROM k LEFT JOIN hot ON k.k = hot.k GROUP BY r
+"""

@@ -2,9 +2,16 @@
 
 from __future__ import annotations
 
-from claimloom.llm import simhash
+from claimloom.llm import decontaminate, linededup, packing, quality, simhash
 
 QUERIES = {
+    "op2_minimum_bin_slack": packing.query,
+    "op5_cuckoo_line_dedup": linededup.query,
+    "op7_pairwise_quality": quality.query,
     "op8_simhash_near_dedup": simhash.query,
+    "op9_positional_decontamination": decontaminate.query,
+}
+ORACLES: dict[str, str] = {
+    "op5_cuckoo_line_dedup": linededup.ORACLE,
+    "op9_positional_decontamination": decontaminate.ORACLE,
 }
-ORACLES: dict[str, str] = {}

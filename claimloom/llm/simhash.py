@@ -307,6 +307,18 @@ def near_duplicates(docs: DataFrame, width: int = 3, words: int = 1, radius: int
     return prints.join(materialise(known), names, "left")
 
 
+def one_of_each(docs: DataFrame, width: int = 5, words: int = 4, radius: int = 44) -> DataFrame:
+    """docs with one row of each group of near copies: that with the smallest doc_id.
+
+    The defaults stand for five-word shingles and a similarity of 0.8: two texts whose shingle sets have Jaccard similarity J differ in about
+    acos(2J / (1 + J)) / pi of the bits, 39 of 256 at J = 0.8, and 44 leaves room for the spread of that estimate. Rows without doc_id stay,
+    as no group can be named after them.
+    """
+    keep = materialise(near_duplicates(docs, width, words, radius, exact=False).select(F.col("component_id").alias("_keep")).distinct())
+    named = docs.join(keep, F.col("doc_id").cast("long") == F.col("_keep"), "left_semi").dropDuplicates(["doc_id"])
+    return named.unionByName(docs.where("doc_id is null"))
+
+
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Contract columns: doc_id, fingerprint (16 hex digits), component_id."""
     out = near_duplicates(table(spark, sf_dir, "documents"))

@@ -1,10 +1,64 @@
-"""The corpus pipeline."""
+"""The corpus pipeline: documents in, packed training sequences out.
+
+Each stage takes (spark, docs, sf_dir) and works on all that its predecessor kept. All but the last return the columns of documents.
+"""
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from claimloom.llm import decontaminate, linededup, packing, quality, simhash
+from claimloom.llm.common import materialise, table
+
+#: SQL can't express the quality model, the fingerprints or the tokenizer: the stages are tested one by one instead.
 ORACLE_SQL = None
-STAGES: list = []
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier takes for good; without usable labels, all of them."""
+    names = docs.columns
+    scored = quality.scored(docs, quality.train(docs, table(spark, sf_dir, "labels")))
+    return scored.where("score >= 0.5").select(*names)
+
+
+def fresh_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the lines that at least ten of them hold; n_chars is that of the text that is left."""
+    names = docs.columns
+    cut = linededup.LineIndex.build(docs).apply(docs)
+    if "n_chars" in names:
+        n_chars = F.when(F.col("n_dropped") > 0, F.length("text")).otherwise(F.col("n_chars"))
+        cut = cut.withColumn("n_chars", n_chars.cast(docs.schema["n_chars"].dataType))
+    return cut.select(*names)
+
+
+def distinct_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies."""
+    return simhash.one_of_each(docs)
+
+
+def uncontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without, or with hardly any, benchmark passages."""
+    return decontaminate.clean(docs, table(spark, sf_dir, "benchmark"))
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token pieces of all documents with their ids and places in the sequences."""
+    return packing.pack(docs)
+
+
+STAGES = [
+    ("quality classifier", good),
+    ("line dedup", fresh_lines),
+    ("SimHash near-dedup", distinct_texts),
+    ("benchmark decontamination", uncontaminated),
+    ("packing", packed),
+]
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages in turn, each written as Parquet and read again."""
+    docs = table(spark, sf_dir, "documents")
+    for _, stage in STAGES:
+        docs = materialise(stage(spark, docs, sf_dir))
+    return docs
