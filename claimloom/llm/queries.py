@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
-from claimloom.llm import decontaminate, linededup, packing, quality, simhash
+from claimloom.llm import chat, decontaminate, linededup, packing, quality, sharding, simhash, tokencount
 
 QUERIES = {
+    "op1_longest_match_counts": tokencount.query,
     "op2_minimum_bin_slack": packing.query,
+    "op3_prefix_target_chat": chat.query,
     "op5_cuckoo_line_dedup": linededup.query,
+    "op6_stratified_interleaving": sharding.query,
     "op7_pairwise_quality": quality.query,
     "op8_simhash_near_dedup": simhash.query,
     "op9_positional_decontamination": decontaminate.query,
 }
 ORACLES: dict[str, str] = {
+    "op3_prefix_target_chat": chat.ORACLE,
     "op5_cuckoo_line_dedup": linededup.ORACLE,
     "op9_positional_decontamination": decontaminate.ORACLE,
 }
