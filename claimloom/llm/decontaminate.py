@@ -126,7 +126,7 @@ class PositionalIndex:
         w = self.windows
         at = self.postings.join(w.select("term", "offset", "term2", "offset2", "window", "window_id"), "term")
         start = F.col("pos") - F.col("offset")
-        local = start - F.col("first") + 1  # where the window would begin in around
+        local = F.greatest(start - F.col("first") + 1, F.lit(1))  # where the window would begin in around
         at = at.where(start >= F.col("first"))
         # the second rarest term must stand at its own offset; then all words must agree
         at = at.where(F.lower(F.try_element_at("around", local + F.col("offset2"))) == F.col("term2"))
