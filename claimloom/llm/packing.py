@@ -10,6 +10,7 @@
 
 from __future__ import annotations
 
+import functools
 import json
 import re
 import zlib
@@ -81,6 +82,12 @@ class Ids:
         return b"".join(map(new.__getitem__, pieces))
 
 
+@functools.lru_cache(maxsize=2)
+def ids_of(path: str) -> Ids:
+    """One for each tokenizer file and worker process: what it remembers serves the tasks that follow there."""
+    return Ids(path)
+
+
 def pieces(docs: DataFrame, tokenizer: str = TOKENIZER, window: int = WINDOW, separator: int = SEPARATOR, with_ids: bool = False) -> DataFrame:
     """(doc_id, start, length, ids_crc32, doc_tokens[, ids]): each document's ids and the separator, cut into pieces of at most window ids; null text: empty.
 
@@ -89,7 +96,7 @@ def pieces(docs: DataFrame, tokenizer: str = TOKENIZER, window: int = WINDOW, se
     end = np.array([separator], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids = Ids(tokenizer)
+        ids = ids_of(tokenizer)
         for whole in batches:
             for at in range(0, whole.num_rows, 256):
                 batch = whole.slice(at, 256)
