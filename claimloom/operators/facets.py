@@ -30,3 +30,45 @@ def coverage(rows: DataFrame, columns: list[str]) -> DataFrame:
 def top_values(rows: DataFrame, column: str, k: int = 14) -> DataFrame:
     """(value, n) of the k most frequent values, ties by value."""
     return rows.groupBy(F.col(column).alias("value")).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "value").limit(k)
+
+
+def search_text(*columns: str, aliases: str | None = None) -> Column:
+    """Lower-cased text to search in: all columns and aliases that are there."""
+    extra = [F.array_join(aliases, " ")] if aliases else []
+    return F.lower(F.concat_ws(" ", *columns, *extra))
+
+
+def matches(any_of: dict[str, list], one_of: dict[str, list], text: str = "", search: Column | None = None, least: float | None = None, review: bool = False, inside: bool = False) -> Column:
+    """The conjunctive filter of the query surface. any_of: choices for list columns; one_of: choices for plain ones; empty choices take all."""
+    tests = [F.arrays_overlap(F.col(k), F.array(*map(F.lit, v))) for k, v in any_of.items() if v]
+    tests += [F.col(k).isin(v) for k, v in one_of.items() if v]
+    tests += [search.contains(text.lower())] if text and search is not None else []
+    tests += [F.col("confidence") >= least] if least is not None else []
+    tests += [F.col("needs_review")] if review else []
+    tests += [F.coalesce("in_council", F.lit(True))] if inside else []
+    return F.coalesce(reduce(lambda a, b: a & b, tests, F.lit(True)), F.lit(False))
+
+
+def status_distribution(sites: DataFrame, axes: dict[str, list[str]], category: str = "category") -> DataFrame:
+    """(axis, value, n): values of status columns over the rows whose category the axis applies to; a missing value is 'unknown'."""
+    entries = F.array(*(F.when(F.col(category).isin(on), F.struct(F.lit(k).alias("axis"), F.coalesce(F.col(k), F.lit("unknown")).alias("value"))) for k, on in axes.items()))
+    return sites.select(F.explode(F.array_compact(entries)).alias("e")).groupBy("e.axis", "e.value").agg(F.count(F.lit(1)).alias("n"))
+
+
+def list_histogram(rows: DataFrame, column: str) -> DataFrame:
+    """(value, n): rows that hold each value of a list column, however often a row repeats it."""
+    return rows.select(F.explode(F.array_distinct(column)).alias("value")).groupBy("value").agg(F.count(F.lit(1)).alias("n"))
+
+
+def tiles(sites: DataFrame) -> DataFrame:
+    """One row: n, mappable, gap (without a position), need_review, mean_confidence."""
+    return sites.agg(
+        F.count(F.lit(1)).alias("n"), F.count("lat").alias("mappable"), F.count_if(F.col("lat").isNull()).alias("gap"),
+        F.count_if("needs_review").alias("need_review"), F.round(F.avg("confidence"), 3).alias("mean_confidence"),
+    )
+
+
+def hash_to_filters(text: Column) -> Column:
+    """A URL hash like #cat=a,b&type=c as a map of lists."""
+    pairs = F.filter(F.split(F.regexp_replace(text, "^#", ""), "&"), lambda p: F.instr(p, "=") > 1)
+    return F.map_from_entries(F.transform(pairs, lambda p: F.struct(F.substring_index(p, "=", 1), F.split(F.url_decode(F.regexp_replace(p, "^[^=]*=", "")), ","))))

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -27,3 +30,16 @@ def geojson_features(df: DataFrame, lat: str = "lat", lon: str = "lon") -> DataF
     rest = F.struct(*(c for c in df.columns if c not in (lat, lon)))
     feature = F.struct(F.lit("Feature").alias("type"), shape.alias("geometry"), rest.alias("properties"))
     return df.where(F.col(lat).isNotNull() & F.col(lon).isNotNull()).select(F.to_json(feature).alias("feature"))
+
+
+def materialise(df: DataFrame) -> DataFrame:
+    """df as a written table in the folder that driver and executors share (spark.checkpoint.dir), which cuts its lineage. Where none is set, as in tests,
+    a local one; never on a cluster."""
+    spark = df.sparkSession
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        base = tempfile.mkdtemp(prefix="claimloom-tables-")
+        spark.conf.set("spark.checkpoint.dir", base)
+    path = f"{base.rstrip('/')}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

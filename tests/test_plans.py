@@ -2,16 +2,17 @@ import duckdb
 import pytest
 
 from claimloom.functions.scalar import year
-from claimloom.plans.queries import ORACLES, QUERIES
+from claimloom.plans import fusion_queries, queries
 from claimloom.sources.files import geojson_features
 
+QUERIES, ORACLES = queries.QUERIES | fusion_queries.QUERIES, queries.ORACLES | fusion_queries.ORACLES
 SF = "/root/testdata/sf0.001"
 
 
 @pytest.mark.parametrize("name", list(QUERIES))
 def test_query_equals_sql(spark, name):
     con = duckdb.connect()
-    for t in ("customer", "part", "orders", "documents"):
+    for t in ("customer", "part", "orders", "documents", "supplier", "lineitem"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
     got = QUERIES[name](spark, SF)
     want = con.execute(ORACLES[name])
