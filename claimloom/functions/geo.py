@@ -22,8 +22,8 @@ _N = _F / (2 - _F)
 _RADIUS = _A / (1 + _N) * (1 + _N**2 / 4 + _N**4 / 64)
 _FORWARD = (_N / 2 - 2 * _N**2 / 3 + 5 * _N**3 / 16, 13 * _N**2 / 48 - 3 * _N**3 / 5, 61 * _N**3 / 240)
 _BACK = (_N / 2 - 2 * _N**2 / 3 + 37 * _N**3 / 96, _N**2 / 48 + _N**3 / 15, 17 * _N**3 / 480)
-#: Fixed value: the box outside of which a projection is refused (lat, lon).
-BOX = (29.0, 33.6, 34.0, 36.0)
+#: The boxes (lat, lon) of the country and of the area. A projection outside its box is refused.
+BOX, AREA = (29.4, 33.4, 34.2, 35.9), (32.45, 32.95, 34.95, 35.60)
 
 
 def _total(terms: list):
@@ -93,10 +93,10 @@ def _to_wgs84(x: pd.Series, y: pd.Series) -> pd.DataFrame:
     return pd.DataFrame({"lat": np.round(np.degrees(lat), 6), "lon": np.round(np.degrees(lon), 6)})
 
 
-def try_to_wgs84(x: Column, y: Column) -> Column:
+def try_to_wgs84(x: Column, y: Column, box: tuple[float, ...] = BOX) -> Column:
     """struct(lat, lon) of a national grid point, six decimals; null outside the box."""
     at = _to_wgs84(x.cast("double"), y.cast("double"))
-    return F.when(at["lat"].between(*BOX[:2]) & at["lon"].between(*BOX[2:]), at)
+    return F.when(at["lat"].between(*box[:2]) & at["lon"].between(*box[2:]), at)
 
 
 # ---------------------------------------------------------------- polygons
@@ -200,7 +200,7 @@ def coords_from_plus_code(text: Column, lat: Column, lon: Column, metres: float
     """struct(lat, lon) of a code inside a text, unless it is out of the box or too far from the reference."""
 
     def near(at: Column) -> Column:
-        inside = at["lat"].between(*BOX[:2]) & at["lon"].between(*BOX[2:])
+        inside = at["lat"].between(*AREA[:2]) & at["lon"].between(*AREA[2:])
         return F.when(inside & (haversine_m(lat, lon, at["lat"], at["lon"]) <= metres), at)
 
     return let(plus_recover(plus_parse(text), lat, lon), near)

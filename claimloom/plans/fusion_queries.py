@@ -205,6 +205,6 @@ SELECT id, CAST(NULL AS VARCHAR) AS email, CASE WHEN p AND NOT hide THEN '04-' |
     "filtered": "SELECT doc_id FROM documents WHERE lang IN ('en', 'de') AND contains(lower(concat_ws(' ', text, source)), 'the')",
     "events_attached": """SELECT c_custkey AS id, y.years FROM customer LEFT JOIN (SELECT o_custkey, string_agg(DISTINCT CAST(year(o_orderdate) AS VARCHAR), ',' ORDER BY CAST(year(o_orderdate) AS VARCHAR)) AS years FROM orders GROUP BY o_custkey) y ON o_custkey = c_custkey""",
 }
-ORACLES["name_keys"] = """WITH RECURSIVE b AS (SELECT CAST(p_partkey AS BIGINT) AS id, lower(trim(regexp_replace(replace(p_name, '-', ' '), '\\s+', ' ', 'g'))) AS key FROM part),
+ORACLES["name_keys"] = """WITH RECURSIVE b AS (SELECT CAST(p_partkey AS BIGINT) AS id, trim(regexp_replace(replace(p_name, '-', ' '), '\\s+', ' ', 'g')) AS key FROM part),
 l AS (SELECT id, key, '' AS loose, 1 AS i FROM b UNION ALL SELECT id, key, CASE WHEN right(loose, 1) = substr(key, i, 1) AND loose <> '' THEN loose ELSE loose || substr(key, i, 1) END, i + 1 FROM l WHERE i <= length(key))
 SELECT id, key, loose, false AS generic FROM l WHERE i = length(key) + 1"""
