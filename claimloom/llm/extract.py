@@ -24,6 +24,8 @@ from claimloom.llm.common import table
 
 PATH, WORDS, RATES, HIDDEN = 96, 32, 8, 24
 WIDTH = PATH + WORDS + RATES
+#: Pages that are parsed, and blocks that go through the network, at a time.
+PAGES, BLOCKS = 256, 4096
 SILENT = {"script", "style", "noscript", "template", "svg", "title", "iframe", "object", "canvas", "select", "textarea"}
 INLINE = {"a", "abbr", "b", "bdi", "bdo", "big", "br", "cite", "code", "data", "del", "dfn", "em", "font", "i", "img", "ins", "kbd", "label", "mark", "q", "s", "samp", "small", "span", "strike", "strong", "sub", "sup", "time", "tt", "u", "var", "wbr"}
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
@@ -103,22 +105,28 @@ def _slot(word: str, size: int) -> tuple[int, float]:
     return h % size, 1.0 if h >> 16 & 1 else -1.0
 
 
-_MARK = re.compile(r"[a-z]+")
+_MARK, _DIGIT = re.compile(r"[a-z]+"), re.compile(r"\d")
 
 
-def vector(block: tuple[str, list[tuple[str, str]], int], first: bool) -> np.ndarray:
-    text, path, linked = block
-    out = np.zeros(WIDTH, np.float32)
+@functools.lru_cache(20_000)
+def _path(path: tuple[tuple[str, str], ...]) -> np.ndarray:
+    out = np.zeros(PATH, np.float32)
     for depth, (tag, marks) in enumerate(reversed(path)):
         for name in (tag, *(f".{m}" for m in _MARK.findall(marks.lower()))):
             at, sign = _slot(name, PATH)
             out[at] += sign * (1.0 if depth < 3 else 0.7)
+    return out
+
+
+def vector(block: tuple[str, list[tuple[str, str]], int], first: bool) -> np.ndarray:
+    text, path, linked = block
+    out = np.zeros(WIDTH, np.float32)
+    out[:PATH] = _path(tuple(path))
     words = text.lower().split()
-    for w in words:
-        at, sign = _slot(w, WORDS)
-        out[PATH + at] += sign / len(words)
+    at, sign = zip(*[_slot(w, WORDS) for w in words])
+    out[PATH : PATH + WORDS] = np.bincount(at, sign, WORDS) / len(words)
     n = len(text)
-    out[PATH + WORDS :] = [np.log1p(n) / 5, np.log1p(len(words)) / 4, linked / n, sum(c in ".!?" for c in text) / len(words), sum(map(str.isdigit, text)) / n, "©" in text, first, len(path) / 8]
+    out[PATH + WORDS :] = [np.log1p(n) / 5, np.log1p(len(words)) / 4, linked / n, sum(map(text.count, ".!?")) / len(words), len(_DIGIT.findall(text)) / n, "©" in text, first, len(path) / 8]
     return out
 
 
@@ -193,11 +201,24 @@ class Labeller:
         return [*first, *second, np.einsum("tbi,tbj->ij", both, d), d.sum((0, 1))]
 
     def main(self, blocks: list) -> list[bool]:
-        """Label of every block of a page, from the whole page."""
-        if not blocks:
-            return []
-        x = np.stack([vector(b, i == 0) for i, b in enumerate(blocks)])[:, None]
-        return (self.logits(x)[:, 0] > 0).tolist()
+        """Label of every block of a page."""
+        return self.labels([blocks])[0]
+
+    def labels(self, pages: list[list]) -> list[list[bool]]:
+        """Label of every block of each page, from the whole page. Pages with equally many blocks go through together, BLOCKS blocks at a time at most
+        unless one page has more."""
+        out: list[list[bool]] = [[] for _ in pages]
+        by_size: dict[int, list[int]] = {}
+        for at, blocks in enumerate(pages):
+            by_size.setdefault(len(blocks), []).append(at)
+        for size, ats in by_size.items():
+            step = max(1, BLOCKS // max(1, size))
+            for lo in range(0, len(ats) if size else 0, step):
+                group = ats[lo : lo + step]
+                x = np.stack([np.stack([vector(b, i == 0) for i, b in enumerate(pages[at])]) for at in group], 1)
+                for at, labels in zip(group, (self.logits(x) > 0).T.tolist()):
+                    out[at] = labels
+        return out
 
 
 def made_page(draw: random.Random) -> tuple[str, list[bool]]:
@@ -302,9 +323,13 @@ def trained(pages: int = 1200, rounds: int = 6, seed: int = 3) -> Labeller:
     return model
 
 
+def main_texts(html: list[str | None], model: Labeller) -> list[str]:
+    pages = list(map(leaves, html))
+    return ["\n".join(b[0] for b, good in zip(blocks, labels) if good) for blocks, labels in zip(pages, model.labels(pages))]
+
+
 def main_text(html: str | None, model: Labeller) -> str:
-    blocks = leaves(html)
-    return "\n".join(b[0] for b, good in zip(blocks, model.main(blocks)) if good)
+    return main_texts([html], model)[0]
 
 
 def extracted(pages: DataFrame, model: Labeller | None = None) -> DataFrame:
@@ -313,8 +338,9 @@ def extracted(pages: DataFrame, model: Labeller | None = None) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         labeller = Labeller(weights)
-        for batch in batches:
-            texts = [main_text(h.as_py(), labeller) for h in batch.column(2)]
+        for whole, at in ((b, at) for b in batches for at in range(0, b.num_rows, PAGES)):
+            batch = whole.slice(at, PAGES)
+            texts = main_texts(batch.column(2).to_pylist(), labeller)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array(list(map(len, texts)), pa.int64())], names=["page_id", "url", "text", "n_chars"])
 
     return pages.select(F.col("page_id").cast("long"), "url", "html").mapInArrow(run, "page_id long, url string, text string, n_chars long")
