@@ -7,7 +7,7 @@
    the lists of the substring values near the query's; they are checked by their whole code, then ranked by distance of the original vectors.
 4. Each task merges the best rows of its blocks, so only k rows for each query and task are shuffled.
 
-A query that finds fewer than k rows within the radius goes on with the nearest codes of each block, so that none stays short. Queries go out in blocks of
+A query with fewer than k rows within the radius, counted over all data, gets a second pass over every row with exact distances. Queries go out in blocks of
 QUERIES rows.
 """
 
@@ -54,7 +54,7 @@ class Codes:
         made = cls(mean, axes.T[:, :bits] @ turn, bits)
         code = made(x)
         apart = []
-        for i in range(min(TRIALS, len(x))):
+        for i in np.random.default_rng(seed + 1).choice(len(x), min(TRIALS, len(x)), replace=False):
             d = ((x - x[i]) ** 2).sum(1)
             d[i] = np.inf
             near = np.argsort(d)[: min(K, len(x) - 1)]
@@ -131,15 +131,23 @@ class HashIndex:
         for block in range(blocks):
             rows = sorted(numbered.where(F.col("block") == block).select("id", "code", "x").dropDuplicates(["id"]).collect())
             if rows:
-                part = self._search([r["id"] for r in rows], np.array([r["x"] for r in rows]), np.array([r["code"] for r in rows], np.int64).view(np.uint64), k)
+                part = materialise(self._search(rows, k))
+                full = {r[0] for r in part.groupBy("query_id").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= k).select("query_id").collect()}
+                short = [r for r in rows if r["id"] not in full]
+                if short:
+                    part = part.join(F.broadcast(part.sparkSession.createDataFrame([(r["id"],) for r in short], "query_id long")), "query_id", "left_anti")
+                    part = part.unionByName(self._search(short, k, everywhere=True))
                 found = part if found is None else found.unionByName(part)
         if found is None:
             return self.rows.select(F.col("id").alias("query_id"), F.lit(1).alias("rank"), "id", F.lit(0.0).alias("score")).limit(0)
         order = Window.partitionBy("query_id").orderBy("score", "id")
         return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "id", "score")
 
-    def _search(self, ids: list[int], vectors: np.ndarray, codes: np.ndarray, k: int) -> DataFrame:
+    def _search(self, queries: list, k: int, everywhere: bool = False) -> DataFrame:
+        """(query_id, id, score): of each task the k nearest rows within the radius, or, everywhere, of all rows."""
         radius, dims = self.codes.radius, self.dims
+        ids, vectors = [r["id"] for r in queries], np.array([r["x"] for r in queries])
+        codes = np.array([r["code"] for r in queries], np.int64).view(np.uint64)
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             best: list[tuple[np.ndarray, np.ndarray]] = [(np.empty(0), np.empty(0, np.int64))] * len(ids)
@@ -148,16 +156,10 @@ class HashIndex:
                     batch = whole.slice(start, BLOCK)
                     own = batch.column(0).to_numpy(zero_copy_only=False)
                     x, code = _matrix(batch.column(1), dims), batch.column(2).to_numpy(zero_copy_only=False).view(np.uint64)
-                    index = MultiIndex(code)
+                    index = None if everywhere else MultiIndex(code)
                     for q, me in enumerate(ids):
-                        at = index.within(codes[q], radius)
+                        at = np.arange(len(own)) if everywhere else index.within(codes[q], radius)
                         at = at[own[at] != me]
-                        if len(at) < k and len(best[q][0]) < k:  # goes on with the nearest codes
-                            others = np.flatnonzero(own != me)
-                            apart = np.bitwise_count(code[others] ^ codes[q])
-                            if len(others) > k:
-                                others = others[apart <= np.partition(apart, k - 1)[k - 1]]
-                            at = others
                         score = np.sqrt(((x[at] - vectors[q]) ** 2).sum(1))
                         score, who = np.concatenate((best[q][0], score)), np.concatenate((best[q][1], own[at]))
                         if len(score) > k:

@@ -135,6 +135,32 @@ def test_neighbours(spark):
     assert none.search(none.rows).count() == 0
 
 
+def test_neighbours_behind_a_hot_group(spark):
+    """Near copies at the lowest ids, many more rows than the sample, several blocks in a task: no other row loses its neighbours."""
+    draw = np.random.default_rng(4)
+    n = 24000
+    x = draw.normal(size=(n, 16)) + 2 * np.eye(16)[draw.integers(0, 8, n)]
+    x[: n // 3] = x[0] + 1e-6 * draw.normal(size=(n // 3, 16))
+    df = spark.createDataFrame(list(enumerate(x.tolist())), "vec_id long, embedding array<double>").coalesce(1)
+    index = ann.HashIndex.build(df)
+    tight = ann.HashIndex(index.rows, ann.Codes(index.codes.mean, index.codes.turn, 0), index.dims)  # most queries are short of rows
+
+    def recall(index):
+        got = defaultdict(set)
+        for r in index.search(index.rows.where(f"id % 400 = 0 and id >= {n // 3}")).collect():
+            got[r.query_id].add(r.id)
+        right = 0
+        for q, found in got.items():
+            d = ((x - x[q]) ** 2).sum(1)
+            d[q] = np.inf
+            right += len(found & set(np.argsort(d)[:10].tolist()))
+        assert len(got) == 40
+        return right / 400
+
+    assert recall(index) >= 0.95
+    assert recall(tight) >= 0.9
+
+
 def test_pigeonhole_finds_all():
     codes = np.random.default_rng(1).integers(0, 1 << 63, 500).astype(np.uint64)
     codes[1:60] = codes[0] ^ (np.uint64(1) << np.arange(59).astype(np.uint64))
