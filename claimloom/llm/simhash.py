@@ -4,7 +4,7 @@
 2. Classes go to cells: all those that agree on the bits of one mask. For a small radius r the masks are r + 1
    disjoint blocks, so that each linked pair shares a cell; cells with too many classes are cut again by blocks of the
    bits that are left, which loses no pair either. For a wide radius, the masks are sampled bits, with as many
-   tables as the wanted recall needs.
+   tables as the wanted recall needs, and the pairs found are only candidates: shingle sets decide (one_of_each).
 3. In each cell, a hierarchical index finds the links: fingerprints in Gray order, whose upper nodes hold the bits
    that all codes below share. Pairs of nodes whose shared bits already differ too much are dropped with all below.
    A cell returns one link for each class (to the smallest of those it is connected with there), never all pairs.
@@ -14,7 +14,7 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -195,8 +195,8 @@ def _cells(classes: DataFrame, masks: list[tuple[int, tuple[int, ...]]], words:
     return classes.withColumn("_cell", F.explode(keys)).select("_cell.mask", "_cell.key", *classes.columns)
 
 
-def _linked(cells: DataFrame, radius: int, words: int, parts: int) -> DataFrame:
-    """Links in every cell. Cells lie side by side in sorted partitions; only one cell is held at a time."""
+def _in_cells(cells: DataFrame, names: list[str], pairs: Callable[[np.ndarray], Iterator[tuple[np.ndarray, np.ndarray]]], parts: int) -> DataFrame:
+    """What pairs yields for the rows (mask, key, names) of every cell. Cells lie side by side in sorted partitions; only one cell is held at a time."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rest: np.ndarray | None = None
@@ -211,19 +211,32 @@ def _linked(cells: DataFrame, radius: int, words: int, parts: int) -> DataFrame:
             yield from done(rest, np.empty(0, np.int64))
 
     def done(x: np.ndarray, cut: np.ndarray) -> Iterator[pa.RecordBatch]:
-        a, b = [], []
+        a, b, n = [], [], 0
         for lo, hi in zip([0, *cut], [*cut, len(x)]):
             if hi - lo > 1:
-                for out, ids in zip((a, b), cell_links(np.ascontiguousarray(x[lo:hi, 3:]).view(np.uint64), x[lo:hi, 2], radius)):
-                    out.append(ids)
-        if a:
+                for left, right in pairs(x[lo:hi]):
+                    a.append(left)
+                    b.append(right)
+                    n += len(left)
+                    if n > 1 << 16:
+                        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(a)), pa.array(np.concatenate(b))], names=["a", "b"])
+                        a, b, n = [], [], 0
+        if n:
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(a)), pa.array(np.concatenate(b))], names=["a", "b"])
 
-    names = ["mask", "key", "rep", *(f"w{w}" for w in range(words))]
-    rows = cells.select(F.col("mask").cast("long"), *names[1:])
+    rows = cells.select(F.col("mask").cast("long"), "key", *names)
     return rows.repartition(parts, "mask", "key").sortWithinPartitions("mask", "key").mapInArrow(run, "a long, b long")
 
 
+def _linked(cells: DataFrame, radius: int, words: int, parts: int) -> DataFrame:
+    """Links in every cell."""
+
+    def pairs(x: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        yield cell_links(np.ascontiguousarray(x[:, 3:]).view(np.uint64), x[:, 2], radius)
+
+    return _in_cells(cells, ["rep", *(f"w{w}" for w in range(words))], pairs, parts)
+
+
 def _sized(cells: DataFrame) -> DataFrame:
     return materialise(cells.groupBy("mask", "key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"))
 
@@ -264,8 +277,38 @@ def exact_links(classes: DataFrame, radius: int, words: int = 1) -> DataFrame:
         cells = materialise(again)
 
 
-def sampled_links(classes: DataFrame, radius: int, words: int, count: int, recall: float = 0.95, seed: int = 7) -> DataFrame:
-    """Links within a wide radius, each such pair with at least the given probability.
+def nearest_neighbours(codes: np.ndarray, ids: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
+    """(id, that of its nearest code, ties to the smaller id) of every code with another one within the radius."""
+    order = _gray_order(codes)
+    codes, ids = codes[order], ids[order]
+    at = np.argsort(ids, kind="stable")
+    place = np.empty(len(ids), np.int64)
+    place[at] = np.arange(len(ids))
+    best = np.full(len(ids), np.iinfo(np.int64).max)
+    for a, b in near_pairs(codes, radius):
+        far = np.bitwise_count(codes[a] ^ codes[b]).sum(1, dtype=np.int64) << 32
+        np.minimum.at(best, a, far + place[b])
+        np.minimum.at(best, b, far + place[a])
+    has = np.flatnonzero(best != np.iinfo(np.int64).max)
+    return ids[has], ids[at[best[has] & (1 << 32) - 1]]
+
+
+def cross_pairs(codes: np.ndarray, ids: np.ndarray, labels: np.ndarray, radius: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(id, id) of all pairs within the radius whose labels differ, in parts."""
+    order = _gray_order(codes)
+    codes, ids, labels = codes[order], ids[order], labels[order]
+    for a, b in near_pairs(codes, radius):
+        keep = labels[a] != labels[b]
+        yield ids[a[keep]], ids[b[keep]]
+
+
+def _gray_order(codes: np.ndarray) -> np.ndarray:
+    rank = gray_rank(codes)
+    return np.lexsort([rank[:, w] for w in reversed(range(codes.shape[1]))])
+
+
+def sampled_cells(classes: DataFrame, radius: int, words: int, count: int, recall: float = 0.95, seed: int = 7, full: int = 16 * CELL) -> DataFrame:
+    """Cells in which each pair within a wide radius meets with at least the given probability.
 
     A table's key is so many sampled bits that unrelated classes rarely meet (about log2 of their count); the number of tables
     follows from the radius and the recall. Crowded cells are cut by 12 more bits of their own.
@@ -278,43 +321,106 @@ def sampled_links(classes: DataFrame, radius: int, words: int, count: int, recal
     picks = [draw.choice(total, keep + 12, replace=False) for _ in range(tables)]
     cells = _cells(classes, [(k, _packed(list(map(int, p[:keep])), words)) for k, p in enumerate(picks)], words)
     sizes = _sized(cells)
-    crowded = F.col("n") > 16 * CELL
-    found = _linked(cells.join(sizes.where(~crowded).drop("n"), ["mask", "key"]), radius, words, _shuffles(classes.sparkSession))
+    crowded = F.col("n") > full
+    small = cells.join(sizes.where(~crowded).drop("n"), ["mask", "key"])
     crowd = sizes.where(crowded)
-    if not crowd.isEmpty():
-        inside = cells.join(crowd.drop("n"), ["mask", "key"])
-        own = F.lit(0)
-        for k, p in enumerate(picks):
-            more = _packed(list(map(int, p[keep:])), words)
-            own = F.when(F.col("mask") == k, F.xxhash64("key", *(F.col(f"w{w}").bitwiseAND(F.lit(more[w])) for w in range(words)))).otherwise(own)
-        found = found.unionByName(_linked(inside.withColumn("key", own), radius, words, _shuffles(classes.sparkSession)))
-    return found
+    if crowd.isEmpty():
+        return small
+    inside, own = cells.join(crowd.drop("n"), ["mask", "key"]), F.lit(0)
+    for k, p in enumerate(picks):
+        more = _packed(list(map(int, p[keep:])), words)
+        own = F.when(F.col("mask") == k, F.xxhash64("key", *(F.col(f"w{w}").bitwiseAND(F.lit(more[w])) for w in range(words)))).otherwise(own)
+    return small.unionByName(inside.withColumn("key", own))
+
+
+def sampled_pairs(cells: DataFrame, radius: int, words: int) -> DataFrame:
+    """Distinct pairs (a, b) within the radius that meet in a cell: of each class that with its nearest; with a column label, all with two labels."""
+    labelled = "label" in cells.columns
+
+    def pairs(x: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        codes = np.ascontiguousarray(x[:, 3 : 3 + words]).view(np.uint64)
+        if labelled:
+            yield from cross_pairs(codes, x[:, 2], x[:, -1], radius)
+        else:
+            yield nearest_neighbours(codes, x[:, 2], radius)
 
+    names = ["rep", *(f"w{w}" for w in range(words)), *(["label"] if labelled else [])]
+    found = _in_cells(cells, names, pairs, _shuffles(cells.sparkSession))
+    return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
-def near_duplicates(docs: DataFrame, width: int = 3, words: int = 1, radius: int = 2, exact: bool = True) -> DataFrame:
+
+def near_duplicates(docs: DataFrame, width: int = 3, words: int = 1, radius: int = 2) -> DataFrame:
     """doc_id, w0.., component_id of every row: documents are one component if links of at most radius bits join them.
 
     component_id is the smallest doc_id of the component. Null or empty texts have fingerprint zero, linked like any other; repeated rows
-    come back as often as they are there; rows without doc_id get the component of their fingerprint. exact=False uses sampled tables
-    (see sampled_links), for a radius that disjoint blocks can't serve.
+    come back as often as they are there; rows without doc_id get the component of their fingerprint.
     """
     prints = materialise(fingerprints(docs, width, words))
     names = [f"w{w}" for w in range(words)]
     classes = materialise(prints.groupBy(*names).agg(F.min("doc_id").alias("rep")).where("rep is not null"))
-    links = exact_links(classes, radius, words) if exact else sampled_links(classes, radius, words, classes.count())
-    joined = components(links)
+    joined = components(exact_links(classes, radius, words))
     known = classes.join(joined.withColumnRenamed("node", "rep"), "rep", "left").select(*names, F.coalesce("component", "rep").alias("component_id"))
     return prints.join(materialise(known), names, "left")
 
 
-def one_of_each(docs: DataFrame, width: int = 5, words: int = 4, radius: int = 44) -> DataFrame:
+def shingle_sets(docs: DataFrame, width: int, words: int = 0, whole: bool = False) -> DataFrame:
+    """doc_id, text_hash, rep (a hash of the set of shingles), w0.., and, if whole, the set itself, of every row."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for all_rows in batches:
+            for at in range(0, all_rows.num_rows, 256):
+                batch = all_rows.slice(at, 256)
+                each = [shingle_hashes(text.as_py(), width) for text in batch.column(2)]
+                hashes, sizes = np.concatenate(each), np.fromiter(map(len, each), np.int64, len(each))
+                sets = [np.unique(x) for x in each]
+                out = [*batch.columns[:2], pa.array(np.array([xxhash.xxh64_intdigest(x.tobytes(), 42) for x in sets], np.uint64).view(np.int64))]
+                out += [pa.array(majorities(_mixed(hashes, w), sizes).view(np.int64)) for w in range(words)]
+                out += [pa.array([x.view(np.int64) for x in sets], pa.list_(pa.int64()))] if whole else []
+                yield pa.RecordBatch.from_arrays(out, names=names)
+
+    names = ["doc_id", "text_hash", "rep", *(f"w{w}" for w in range(words)), *(["shingles"] if whole else [])]
+    kinds = ", ".join(f"{n} {'array<long>' if n == 'shingles' else 'long'}" for n in names)
+    return docs.select(F.col("doc_id").cast("long"), _text_hash().alias("text_hash"), "text").mapInArrow(run, kinds)
+
+
+def _text_hash():
+    return F.xxhash64(F.coalesce("text", F.lit("")))
+
+
+def similar(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
+    """The pairs (a, b) whose shingle sets (rep, shingles) have at least the given Jaccard similarity."""
+    x, y = (sets.select(F.col("rep").alias(n), F.col("shingles").alias(f"_{n}")) for n in "ab")
+    both = pairs.join(x, "a").join(y, "b").select("a", "b", F.size("_a").alias("m"), F.size("_b").alias("n"), F.size(F.array_intersect("_a", "_b")).alias("common"))
+    return materialise(both.where(F.col("common") / (F.col("m") + F.col("n") - F.col("common")) >= least).select("a", "b"))
+
+
+def one_of_each(docs: DataFrame, width: int = 5, words: int = 4, radius: int = 44, reach: int = 52, least: float = 0.8) -> DataFrame:
     """docs with one row of each group of near copies: that with the smallest doc_id.
 
-    The defaults stand for five-word shingles and a similarity of 0.8: two texts whose shingle sets have Jaccard similarity J differ in about
-    acos(2J / (1 + J)) / pi of the bits, 39 of 256 at J = 0.8, and 44 leaves room for the spread of that estimate. Rows without doc_id stay,
-    as no group can be named after them.
+    Near copies are texts whose sets of five-word shingles have Jaccard similarity J of 0.8 or more, and what such links join. The fingerprints only give the
+    candidates: texts differ in about acos(2J / (1 + J)) / pi of the bits, 39 of 256 at J = 0.8. Pairs within radius meet with a probability of 0.95 or more,
+    and of those that meet, all within reach, which leaves room for the spread of that estimate, are compared by their sets.
+
+    First each class of equal sets is compared with its nearest in every cell; then, among the classes that have any neighbour, all pairs that this has not
+    joined. A group of many near copies is joined by the first step, so its pairs are never listed. Rows without doc_id stay, as no group can be named after them.
     """
-    keep = materialise(near_duplicates(docs, width, words, radius, exact=False).select(F.col("component_id").alias("_keep")).distinct())
+    names = [f"w{w}" for w in range(words)]
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "text_hash", *names))
+    classes = materialise(shingle_sets(docs, width, words).groupBy("rep").agg(first.alias("_")).select("rep", "_.*"))
+    count = classes.count()
+    codes = classes.select("rep", *names)
+    pairs = materialise(sampled_pairs(sampled_cells(codes, radius, words, count), reach, words))
+    ends = materialise(pairs.select(F.explode(F.array("a", "b")).alias("rep")).distinct())
+    wanted = classes.join(ends, "rep").select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"))
+    here = docs.join(wanted, F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (_text_hash() == F.col("_hash")), "left_semi")
+    sets = materialise(shingle_sets(here, width, whole=True).dropDuplicates(["rep"]).select("rep", "shingles"))
+    links = similar(pairs, sets, least)
+    labels = components(links).select(F.col("node").alias("rep"), "component")
+    active = materialise(codes.join(ends, "rep").join(labels, "rep", "left").select("rep", *names, F.coalesce("component", "rep").alias("label")))
+    others = sampled_pairs(sampled_cells(active, radius, words, count), reach, words).join(pairs, ["a", "b"], "left_anti")
+    groups = components(links.unionByName(similar(materialise(others), sets, least))).select(F.col("node").alias("rep"), "component")
+    named = classes.where(~F.col("nameless")).join(groups, "rep", "left").groupBy(F.coalesce("component", "rep").alias("group"))
+    keep = materialise(named.agg(F.min(F.struct("doc_id", "text_hash")).alias("_")).select(F.col("_.doc_id").alias("_keep")).distinct())
     named = docs.join(keep, F.col("doc_id").cast("long") == F.col("_keep"), "left_semi").dropDuplicates(["doc_id"])
     return named.unionByName(docs.where("doc_id is null"))
 

@@ -250,6 +250,25 @@ def test_one_of_each(spark, texts):
     assert kept == {0, 2, 4}
 
 
+def test_one_of_each_is_decided_by_shingle_sets(spark):
+    """Pairs on both sides of 0.8, near in their fingerprints: kept apart or joined as brute force over the sets says."""
+    draw = random.Random(8)
+    texts = []
+    for g in range(60):
+        base = [f"g{g}w{i}" for i in range(200)]
+        texts.append(" ".join(base))
+        changed = base[:]
+        for at in draw.sample(range(5, 195), 1 + g % 7):
+            changed[at] = f"x{draw.random()}"
+        texts.append(" ".join(changed))
+    sets = [{tuple(t.split()[i : i + 5]) for i in range(len(t.split()) - 4)} for t in texts]
+    alike = [len(a & b) / len(a | b) >= 0.8 for a, b in zip(sets[::2], sets[1::2])]
+    assert 10 < sum(alike) < 50
+    want = {i for i in range(len(texts)) if i % 2 == 0 or not alike[i // 2]}
+    kept = {r.doc_id for r in simhash.one_of_each(docs_of(spark, texts)).collect()}
+    assert not want - kept and len(kept - want) <= 1  # a pair meets with a probability of at least 0.95
+
+
 def test_decontamination(spark):
     item = " ".join(f"Item{i}" for i in range(20))
     short = "tiny item here"
