@@ -311,26 +311,27 @@ def sampled_cells(classes: DataFrame, radius: int, words: int, count: int, recal
     """Cells in which each pair within a wide radius meets with at least the given probability.
 
     A table's key is so many sampled bits that unrelated classes rarely meet (about log2 of their count); the number of tables
-    follows from the radius and the recall. Crowded cells are cut by 12 more bits of their own.
+    follows from the radius and the recall. A cell of more than full classes is dealt out in parts, and every two parts meet in a
+    cell of their own, so no pair is lost by it.
     """
     total = 64 * words
     keep = max(16, math.ceil(math.log2(max(2, count))) - 2)
     agree = 1 - radius / total
     tables = math.ceil(math.log(1 - recall) / math.log(1 - agree**keep))
     draw = np.random.default_rng(seed)
-    picks = [draw.choice(total, keep + 12, replace=False) for _ in range(tables)]
-    cells = _cells(classes, [(k, _packed(list(map(int, p[:keep])), words)) for k, p in enumerate(picks)], words)
+    picks = [draw.choice(total, keep + 12, replace=False)[:keep] for _ in range(tables)]
+    cells = _cells(classes, [(k, _packed(list(map(int, p)), words)) for k, p in enumerate(picks)], words)
     sizes = _sized(cells)
     crowded = F.col("n") > full
     small = cells.join(sizes.where(~crowded).drop("n"), ["mask", "key"])
     crowd = sizes.where(crowded)
     if crowd.isEmpty():
         return small
-    inside, own = cells.join(crowd.drop("n"), ["mask", "key"]), F.lit(0)
-    for k, p in enumerate(picks):
-        more = _packed(list(map(int, p[keep:])), words)
-        own = F.when(F.col("mask") == k, F.xxhash64("key", *(F.col(f"w{w}").bitwiseAND(F.lit(more[w])) for w in range(words)))).otherwise(own)
-    return small.unionByName(inside.withColumn("key", own))
+    parts = F.ceil(F.col("n") / (full // 2)).cast("int")
+    inside = cells.join(crowd, ["mask", "key"]).withColumn("_part", F.pmod(F.xxhash64("rep", "mask"), parts).cast("int"))
+    inside = inside.withColumn("_other", F.explode(F.sequence(F.lit(0), parts - 1)))
+    inside = inside.withColumn("key", F.xxhash64("key", F.least("_part", "_other"), F.greatest("_part", "_other")))
+    return small.unionByName(inside.select(*small.columns))
 
 
 def sampled_pairs(cells: DataFrame, radius: int, words: int) -> DataFrame:

@@ -269,6 +269,17 @@ def test_one_of_each_is_decided_by_shingle_sets(spark):
     assert not want - kept and len(kept - want) <= 1  # a pair meets with a probability of at least 0.95
 
 
+def test_crowded_cells_lose_no_pair(spark):
+    """Classes that share a template: cells dealt out in parts give the same pairs as whole cells."""
+    draw = np.random.default_rng(6)
+    bits = np.tile(draw.integers(0, 2, 256), (300, 1)) ^ (draw.random((300, 256)) < 0.1)
+    codes = np.packbits(bits.astype(np.uint8), axis=1).view(np.int64)
+    rows = [(i, *map(int, c), i) for i, c in enumerate(codes)]
+    classes = spark.createDataFrame(rows, "rep long, w0 long, w1 long, w2 long, w3 long, label long")
+    whole, dealt = ({tuple(r) for r in simhash.sampled_pairs(simhash.sampled_cells(classes, 44, 4, 300, full=n), 44, 4).collect()} for n in (10**6, 16))
+    assert whole and whole == dealt
+
+
 def test_decontamination(spark):
     item = " ".join(f"Item{i}" for i in range(20))
     short = "tiny item here"
