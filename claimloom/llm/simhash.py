@@ -396,7 +396,7 @@ def similar(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
 
 
 def one_of_each(docs: DataFrame, width: int = 5, words: int = 4, radius: int = 44, reach: int = 52, least: float = 0.8) -> DataFrame:
-    """docs with one row of each group of near copies: that with the smallest doc_id.
+    """docs with one row of each group of near copies: that with the smallest doc_id (rows with one doc_id: by the hash of their text).
 
     Near copies are texts whose sets of five-word shingles have Jaccard similarity J of 0.8 or more, and what such links join. The fingerprints only give the
     candidates: texts differ in about acos(2J / (1 + J)) / pi of the bits, 39 of 256 at J = 0.8. Pairs within radius meet with a probability of 0.95 or more,
@@ -421,8 +421,10 @@ def one_of_each(docs: DataFrame, width: int = 5, words: int = 4, radius: int = 4
     others = sampled_pairs(sampled_cells(active, radius, words, count), reach, words).join(pairs, ["a", "b"], "left_anti")
     groups = components(links.unionByName(similar(materialise(others), sets, least))).select(F.col("node").alias("rep"), "component")
     named = classes.where(~F.col("nameless")).join(groups, "rep", "left").groupBy(F.coalesce("component", "rep").alias("group"))
-    keep = materialise(named.agg(F.min(F.struct("doc_id", "text_hash")).alias("_")).select(F.col("_.doc_id").alias("_keep")).distinct())
-    named = docs.join(keep, F.col("doc_id").cast("long") == F.col("_keep"), "left_semi").dropDuplicates(["doc_id"])
+    keep = materialise(named.agg(F.min(F.struct("doc_id", "text_hash")).alias("_")).select(F.col("_.doc_id").alias("_keep"), F.col("_.text_hash").alias("_text")))
+    hashed = docs.withColumn("_hash", _text_hash())
+    named = hashed.join(keep, (F.col("doc_id").cast("long") == F.col("_keep")) & (F.col("_hash") == F.col("_text")), "left_semi")
+    named = named.dropDuplicates(["doc_id", "_hash"]).drop("_hash")
     return named.unionByName(docs.where("doc_id is null"))
 
 

@@ -269,6 +269,13 @@ def test_one_of_each_is_decided_by_shingle_sets(spark):
     assert not want - kept and len(kept - want) <= 1  # a pair meets with a probability of at least 0.95
 
 
+def test_one_of_each_with_repeated_ids(spark):
+    """Rows that share a doc_id but no text are no near copies: both stay."""
+    texts = [" ".join(f"{p}{i}" for i in range(60)) for p in "abc"]
+    kept = simhash.one_of_each(docs_of(spark, [*texts, texts[0]], [1, 1, 2, 5])).collect()
+    assert sorted((r.doc_id, r.text) for r in kept) == [(1, texts[0]), (1, texts[1]), (2, texts[2])]
+
+
 def test_crowded_cells_lose_no_pair(spark):
     """Classes that share a template: cells dealt out in parts give the same pairs as whole cells."""
     draw = np.random.default_rng(6)
