@@ -112,6 +112,17 @@ PREFIXES = [
     ("נבי|נביא", "נבי"),
 ]
 
+# Characters that the keys drop or fold: points, quotation marks, dashes, brackets; articles before a dash or a space; letters that the loose key folds (the rest of the first
+# string it drops), and final letters.
+POINTS = "[\u0591-\u05bd\u05bf\u05c1\u05c2\u05c4\u05c5\u05c7]"
+QUOTES = "[\u05f3\u05f4'\"`\u2018\u2019\u201c\u201d]"
+DASHES = "[\u05be\u2010-\u2015\\-]"
+BRACKETS = "[()\\[\\]{}]"
+ARTICLE = "(?:(?<=\\s)|^)(?:אל|א[טסשדזרנתלצכ])" + DASHES + "(?=\\S)"
+ARTICLE_WORD = "(?:(?<=\\s)|^)אל(?=\\s)"
+FOLDED_LETTERS = ("טקשאעה", "תכס")
+FINAL_LETTERS = ("ךםןףץ", "כמנפצ")
+
 # Gates in metres by the two categories, and the default.
 GATES = {(_C, _C): 200.0, (_A, _A): 400.0, (_H, _H): 300.0, (_A, _H): 350.0, (_A, _C): 250.0, (_H, _C): 250.0}
 GATE = 300.0

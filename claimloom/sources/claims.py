@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimloom.functions.names import clean, display, key
-from claimloom.functions.vocab import SOURCE_RANK
+from claimloom.functions.names import composed, display, key
+from claimloom.functions.vocab import AXES, CATEGORIES, SOURCE_RANK
 
 _TEXT = "string"
 #: Columns of a claim and their types.
@@ -16,7 +14,7 @@ CLAIM = {
     "source_id": _TEXT, "record_id": _TEXT, "url": _TEXT, "retrieved": _TEXT, "name": _TEXT, "names_alt": "array<string>", "name_en": _TEXT, "description": _TEXT,
     "lat": "double", "lon": "double", "itm_x": "double", "itm_y": "double", "location_precision": _TEXT, "category_hint": _TEXT, "type": _TEXT, "periods": "array<string>",
     "year_from": "int", "year_to": "int", "date_text": _TEXT, "locality": _TEXT, "statuses": "map<string,string>", "practical": "map<string,string>", "ids": "map<string,string>",
-    "extra": "map<string,string>",
+    "extra": "map<string,string>", "excavation_years": "array<string>", "excavation_licenses": "array<string>", "excavators": "array<string>",
 }
 SCHEMA = ", ".join(f"{k} {v}" for k, v in CLAIM.items())
 
@@ -30,7 +28,7 @@ def _map(entries: dict[str, Column]) -> Column:
 
 
 def _aliases(names: list[Column], name: Column) -> Column:
-    """Other names in order, each key once and not the name's own."""
+    """Other names in order, in display form, each key once and not the name's own."""
     entries = F.array(*(F.struct(display(n, normalise=False).alias("n"), key(n).alias("k")) for n in names))
 
     def add(kept: Column, e: Column) -> Column:
@@ -40,24 +38,37 @@ def _aliases(names: list[Column], name: Column) -> Column:
     return F.aggregate(entries, F.array().cast("array<struct<n:string,k:string>>"), add, lambda kept: F.transform(kept, lambda x: x["n"]))
 
 
-def claims(rows: DataFrame, source: str, record_id: Column, name: Column, names_alt: list[Column] = (), maps: dict[str, dict[str, Column]] | None = None, **columns: Column) -> DataFrame:
-    """rows as claims. Columns that aren't given are null, lists and maps empty, the precision 'unknown'; unknown statuses aren't stated. Rows without a name go."""
+def claims(
+    rows: DataFrame, source: str, record_id: Column, name: Column, names_alt: list[Column] = (), maps: dict[str, dict[str, Column]] | None = None, normalise: bool = False, **columns: Column
+) -> DataFrame:
+    """rows as claims. Columns that aren't given are null, lists and maps empty, the precision 'unknown'; unknown statuses aren't stated. Rows without a name go.
+
+    normalise: names and aliases are brought to NFC first, which needs Python; for sources that may hold decomposed text.
+    """
     if source not in SOURCE_RANK:
         raise ValueError(f"unknown source: {source}")
     maps = maps or {}
-    given = {"source_id": F.lit(source), "record_id": record_id.cast("string"), "name": name, "location_precision": F.lit("unknown"), "periods": F.array().cast("array<string>")} | columns
+    if normalise:
+        rows = rows.withColumn("_name", composed(name))
+        name, names_alt = F.col("_name"), list(names_alt)
+        for k, n in enumerate(names_alt):
+            rows = rows.withColumn(f"_alias{k}", composed(n))
+            names_alt[k] = F.col(f"_alias{k}")
+    given = {"source_id": F.lit(source), "record_id": record_id.cast("string"), "name": name, "location_precision": F.lit("unknown")} | columns
     if names_alt:
         given["names_alt"] = _aliases(list(names_alt), name)
     for m in ("statuses", "practical", "ids", "extra"):
-        given[m] = _map(maps.get(m, {}))
-    given["statuses"] = F.map_filter(given["statuses"], lambda _, v: v != "unknown")
-    given.setdefault("names_alt", F.array())
+        if m not in given:
+            given[m] = _map(maps.get(m, {}))
+    given["statuses"] = F.map_filter(given["statuses"], lambda k, v: (v != "unknown") & k.isin(list(AXES)))
+    for c in ("names_alt", "periods", "excavation_years", "excavation_licenses", "excavators"):
+        given[c] = F.coalesce(given.get(c, F.lit(None)).cast("array<string>"), F.array().cast("array<string>"))
     return rows.where(name.isNotNull()).select(*(given.get(c, F.lit(None)).cast(t).alias(c) for c, t in CLAIM.items()))
 
 
 def read_claims(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """Claims from JSON files, with ord, their order by file name and row; a missing record_id is the file and the row; an unknown source is an error."""
-    raw = spark.read.schema(SCHEMA).option("multiLine", True).json(paths).withColumn("_f", F.col("_metadata.file_name")).withColumn("_n", F.monotonically_increasing_id())
+    """Claims from JSON files, each an array, with ord, their order by file name and place in the array; a missing record_id is the file and the place; an unknown source is an error."""
+    raw = spark.read.text(paths, wholetext=True).select(F.col("_metadata.file_name").alias("_f"), F.posexplode(F.from_json("value", f"array<struct<{_typed(SCHEMA)}>>", {"mode": "FAILFAST"})).alias("_n", "_c")).select("_f", "_n", "_c.*")
     ok = F.when(F.col("source_id").isin(list(SOURCE_RANK)), F.col("source_id")).otherwise(F.raise_error(F.concat(F.lit("unknown source: "), F.coalesce("source_id", F.lit("null")))).cast("string"))
     at = F.concat("_f", F.lit("-"), F.col("_n").cast("string"))
     return raw.withColumns({"source_id": ok, "record_id": F.coalesce("record_id", at), "ord": F.struct("_f", "_n")}).drop("_f", "_n")
@@ -82,6 +93,21 @@ def _typed(ddl: str) -> str:
     return ", ".join(c.replace(" ", ": ", 1) for c in ddl.split(", "))
 
 
+def read_features(spark: SparkSession, paths: str | list[str], number: str, columns: dict[str, str]) -> DataFrame:
+    """(number, columns) of the features' properties in GeoJSON files, one row for each number: that of the last file by name, and there the last feature."""
+    raw = spark.read.text(paths, wholetext=True).select(F.col("_metadata.file_name").alias("_f"), F.posexplode(F.from_json(F.get_json_object("value", "$.features[*].properties"), "array<string>")).alias("_n", "p"))
+    pick = lambda c, t: F.get_json_object("p", f"$.{c}").cast(t).alias(c)
+    rows = raw.select("_f", "_n", pick(number, "string"), *(pick(c, t) for c, t in columns.items())).where(F.col(number).isNotNull())
+    return rows.groupBy(number).agg(F.max_by(F.struct(*columns), F.struct("_f", "_n")).alias("r")).select(number, "r.*")
+
+
+def key_values(doc: Column) -> Column:
+    """A map from a list of {key, value} that is JSON, or JSON inside a JSON string; empty if it is neither."""
+    inner = F.coalesce(F.from_json(doc, "string"), doc)
+    pairs = F.coalesce(F.from_json(inner, "array<struct<key: string, value: string>>"), F.array().cast("array<struct<key:string,value:string>>"))
+    return F.map_from_entries(F.filter(pairs, lambda p: p["key"].isNotNull()))
+
+
 def read_rings(spark: SparkSession, path: str) -> DataFrame:
     """(part, ring, points) of a GeoJSON document: a collection, a feature or a bare geometry, of polygons or multipolygons."""
     raw = spark.read.text(path, wholetext=True)
@@ -102,39 +128,10 @@ def read_entities(spark: SparkSession, paths: str | list[str], entity: str) -> D
     return first.select("entityType", "entityId", "r.*").drop("_n")
 
 
-def _status(cases: list[tuple[Column, str]]) -> Column:
-    return reduce(lambda out, c: out.when(*c), cases, F.when(F.lit(False), ""))
-
-
-def institutions(rows: DataFrame, inside_m: Column | None = None) -> DataFrame:
-    """Cultural institutions that are in scope. Without a position, the settlement's centre stands in; a stated absence of access is tested before access.
-
-    inside_m: the signed distance to the boundary, once computed; rows more than 600 m outside go.
-    """
-    c = F.col
-    text = lambda n: clean(c(n))
-    has = lambda column, *words: reduce(lambda a, b: a | b, (column.contains(w) for w in words))
-    own, centre = c("lat").isNotNull(), c("fallback_settlement_lat").isNotNull()
-    access, body, fee = text("accessibility"), F.coalesce(text("operating_body"), F.lit("")), text("admission")
-    kept = rows.where(c("in_scope_for_map") & (F.coalesce(inside_m > -600, F.lit(True)) if inside_m is not None else F.lit(True)))
-    return claims(
-        kept, "culture_institutions", c("inst_id"), text("name_he"),
-        url=text("website"), category_hint=F.lit("culture"), locality=text("settlement"),
-        lat=F.coalesce("lat", "fallback_settlement_lat"), lon=F.when(own, c("lon")).otherwise(c("fallback_settlement_lon")),
-        location_precision=_status([(own & (text("coord_confidence") == "high"), "exact"), (own, "approx_100m"), (centre, "locality_centroid"), (F.lit(True), "approx_100m")]),
-        maps={
-            "statuses": {
-                "activity": _status([(text("active") == "yes", "active"), (text("active") == "no", "inactive"), (text("active") == "seasonal", "seasonal")]),
-                "reg_institution": _status([(c("recognised_museum"), "recognized_museum"), (c("registered_public_library"), "public_library")]),
-                "a11y_disabled": _status([(has(access, "אינו נגיש", "לא נגיש"), "not_accessible"), (has(access, "נגיש", "מעלון", "מעלית", "כסא", "כיסא", "שירותי נכים"), F.when(access.contains("חלקית"), "partial").otherwise("accessible"))]),
-                "accessibility": F.when(fee.startswith("כן") | fee.contains('ש"ח'), "open_paid").when(fee.isNotNull(), "open_free"),
-                "ownership": _status([(body.contains("מועצה אזורית"), "council"), (body.contains("עמות") | text("amuta").isNotNull(), "ngo")]),
-            },
-            "practical": {"website": text("website"), "admission": fee, "operator": text("operating_body")},
-        },
-    )
-
-
 def adapter_counts(found: DataFrame) -> DataFrame:
-    """(source_id, n, located, typed, dated) of claims, one pass."""
-    return found.groupBy("source_id").agg(F.count(F.lit(1)).alias("n"), F.count("lat").alias("located"), F.count("type").alias("typed"), F.count_if((F.size("periods") > 0) | F.col("year_from").isNotNull()).alias("dated"))
+    """(source_id, n, located, dated, typed, statuses, and one column for each category and for none) of claims, one pass."""
+    by = [F.count_if(F.col("category_hint") == c).alias(c) for c in CATEGORIES]
+    return found.groupBy("source_id").agg(
+        F.count(F.lit(1)).alias("n"), F.count("lat").alias("located"), F.count_if(F.size("periods") > 0).alias("dated"), F.count("type").alias("typed"), F.sum(F.size("statuses")).alias("statuses"),
+        *by, F.count_if(F.col("category_hint").isNull()).alias("uncategorised"),
+    )

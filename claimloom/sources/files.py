@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
 
@@ -32,14 +33,31 @@ def geojson_features(df: DataFrame, lat: str = "lat", lon: str = "lon") -> DataF
     return df.where(F.col(lat).isNotNull() & F.col(lon).isNotNull()).select(F.to_json(feature).alias("feature"))
 
 
-def materialise(df: DataFrame) -> DataFrame:
-    """df as a written table in the folder that driver and executors share (spark.checkpoint.dir), which cuts its lineage. Where none is set, as in tests,
-    a local one; never on a cluster."""
-    spark = df.sparkSession
+def shared_dir(spark: SparkSession) -> str:
+    """The folder that driver and executors share (spark.checkpoint.dir). Where it is unset, a temporary one, but only on a local master: on a cluster that is an error."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        base = tempfile.mkdtemp(prefix="claimloom-tables-")
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all machines share")
+        base = tempfile.mkdtemp(prefix="claimloom-")
         spark.conf.set("spark.checkpoint.dir", base)
-    path = f"{base.rstrip('/')}/table-{uuid.uuid4().hex}"
+    return base.rstrip("/")
+
+
+def materialise(df: DataFrame) -> DataFrame:
+    """df as a table written to the shared folder, which cuts its lineage: a lost executor can then cost no more than the stage that is running. The files go when the
+    driver's process ends."""
+    spark = df.sparkSession
+    path = f"{shared_dir(spark)}/claimloom-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    atexit.register(_remove, spark, path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    try:
+        where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+    except Exception:  # noqa: BLE001  the session has ended before: the folder's owner clears it
+        pass

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from claimloom.functions import geo, names
-from claimloom.sources import claims, files
+from claimloom.sources import adapters, claims, files
 
 
 def test_institutions(spark):
@@ -18,13 +18,13 @@ def test_institutions(spark):
         "inst_id string, name_he string, settlement string, lat double, lon double, fallback_settlement_lat double, fallback_settlement_lon double, coord_confidence string, in_scope_for_map boolean, active string, "
         "recognised_museum boolean, registered_public_library boolean, accessibility string, admission string, operating_body string, amuta string, website string",
     )
-    a, b = claims.institutions(rows).orderBy("record_id").collect()
+    a, b = adapters.institutions(rows).orderBy("record_id").collect()
     assert a.statuses == {"activity": "active", "reg_institution": "recognized_museum", "a11y_disabled": "not_accessible", "accessibility": "open_paid", "ownership": "ngo"}
     assert (a.location_precision, a.url, a.category_hint) == ("exact", None, "culture")
     assert b.statuses == {"activity": "inactive", "reg_institution": "public_library", "a11y_disabled": "partial", "accessibility": "open_free", "ownership": "council"}
     assert (b.lat, b.lon, b.location_precision) == (32.6, 35.1, "locality_centroid")
-    counts = claims.adapter_counts(claims.institutions(rows)).first()
-    assert (counts.n, counts.located, counts.typed, counts.dated) == (2, 2, 0, 0)
+    counts = claims.adapter_counts(adapters.institutions(rows)).first()
+    assert (counts.n, counts.located, counts.typed, counts.dated, counts.culture) == (2, 2, 2, 0, 2)
     with pytest.raises(ValueError, match="unknown source"):
         claims.claims(rows, "nobody", F.col("inst_id"), F.col("name_he"))
 

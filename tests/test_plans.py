@@ -2,17 +2,21 @@ import duckdb
 import pytest
 
 from claimloom.functions.scalar import year
-from claimloom.plans import fusion_queries, queries
+import __spark_entry__ as entry
 from claimloom.sources.files import geojson_features
 
-QUERIES, ORACLES = queries.QUERIES | fusion_queries.QUERIES, queries.ORACLES | fusion_queries.ORACLES
+QUERIES = {k: v for p in entry.PLANS for k, v in p.QUERIES.items()}
+ORACLES = {k: v for p in entry.PLANS for k, v in p.ORACLES.items()}
 SF = "/root/testdata/sf0.001"
 
 
 @pytest.mark.parametrize("name", list(QUERIES))
 def test_query_equals_sql(spark, name):
+    if name not in ORACLES:
+        assert QUERIES[name](spark, SF).count() > 0
+        return
     con = duckdb.connect()
-    for t in ("customer", "part", "orders", "documents", "supplier", "lineitem"):
+    for t in ("customer", "part", "orders", "documents", "supplier", "lineitem", "nation", "region", "events", "pages"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
     got = QUERIES[name](spark, SF)
     want = con.execute(ORACLES[name])
