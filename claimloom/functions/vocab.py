@@ -51,6 +51,21 @@ AXES = {
 }
 AXES = {k: ([*v.split(), "unknown"], on) for k, (v, on) in AXES.items()}
 
+# Tones of status values; values without one are neutral, unknown ones a gap.
+TONES = {
+    "reg_antiquity": {"declared": "good", "known": "warn", "none": "bad"},
+    "reg_conservation": {"listed": "good", "plan_approved": "good", "restored": "good", "surveyed": "warn", "none": "bad"},
+    "reg_institution": {"recognized_museum": "good", "public_library": "good", "none": "bad"},
+    "protected_area": {"national_park": "good", "nature_reserve": "good", "forest": "warn", "none": "bad"},
+    "excavation": {"excavated": "good", "surveyed_only": "warn", "not_excavated": "bad"},
+    "accessibility": {"open_free": "good", "open_paid": "good", "by_appointment": "warn", "restricted": "warn", "not_accessible": "bad"},
+    "a11y_disabled": {"accessible": "good", "partial": "warn", "not_accessible": "bad"},
+    "condition": {"good": "good", "fair": "warn", "poor": "bad", "endangered": "bad", "destroyed": "bad"},
+    "activity": {"active": "good", "seasonal": "warn", "inactive": "bad"},
+    "signage": {"blue_sign": "good", "other_sign": "warn", "none": "bad"},
+    "visitor_dev": {"developed": "good", "partial": "warn", "undeveloped": "bad"},
+}
+
 # What counts as registered.
 REGISTERED = {
     "reg_antiquity": ["declared"],

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from claimloom.functions.geo import BOX
+from claimloom.functions.names import display
 from claimloom.functions.scalar import haversine_m
 from claimloom.functions.vocab import AUTHORITY_ONLY, AXES, CATEGORIES, PERIODS, SITE_TYPES
 from claimloom.operators.merge import era, registered_summary
@@ -23,18 +24,24 @@ def _markers(text: Column) -> Column:
     return F.size(F.array_intersect(F.split(text, r"[\s\-־,.()]+"), F.array(*map(F.lit, MARKERS))))
 
 
+# Fixed value: words that may stand twice in a name.
+ORDINARY = ["בית", "עין", "כפר", "תל", "גן", "של", "ה"]
+
+
 def name_rules(name: Column) -> dict[str, tuple[str, Column]]:
-    """kind: (severity, predicate) of rules on names. A blank name is only missing."""
-    there = F.coalesce(F.trim(name) != "", F.lit(False))
+    """kind: (severity, predicate) of rules on names, trimmed. A blank name is only missing."""
+    name = F.regexp_replace(name, r"^\s+|\s+$", "")
+    there = F.coalesce(name != "", F.lit(False))
     number = F.regexp_extract(name, r"\s(\d{3,6})$", 1)
-    words = F.filter(F.split(F.lower(name), r"\s+"), lambda w: F.length(w) > 1)
+    words = F.filter(F.split(name, r"\s+"), lambda w: ~w.isin(ORDINARY))
+    shown = F.array(*(display(F.lit(d), normalise=False) for d in DESIGNATIONS))
     rules = {
         "name_missing": ("high", ~there),
-        "name_is_designation": ("high", F.trim(name).isin(DESIGNATIONS)),
+        "name_is_designation": ("high", F.array_contains(shown, display(name, normalise=False))),
         "name_inverted": ("medium", name.rlike(INVERTED)),
         "name_trailing_number": ("medium", (number != "") & ~F.coalesce(number.try_cast("int").between(1000, 2100), F.lit(False))),
         "name_reversed": ("high", (_markers(F.reverse(name)) >= 2) & (_markers(F.reverse(name)) > _markers(name))),
-        "name_latin_only": ("medium", name.rlike("[A-Za-z]{4,}") & ~name.rlike("[א-ת]")),
+        "name_latin_only": ("medium", name.rlike("[A-Za-z]{4,}") & ~name.rlike("[\u0590-\u05ff]")),
         "name_repeated_word": ("low", F.size(words) > F.size(F.array_distinct(words))),
         "name_too_long": ("low", F.length(name) > 90),
     }

@@ -61,9 +61,32 @@ def drop_columns(rows: DataFrame, contacts: list[str], persons: Column | None =
     return scrub_all(kept.withColumns({c: F.lit(None).cast(kept.schema[c].dataType) for c in contacts if c in kept.columns}))
 
 
-def drop_tags(tags: Column, names: str = r"(?:^|:)(?:phone|mobile|fax|email)$") -> Column:
-    """A map without the tags whose names are contacts."""
-    return F.map_filter(tags, lambda k, _: ~k.rlike(names))
+def drop_tags(tags: Column) -> Column:
+    """A map without the tags whose names hold 'email' or 'phone'."""
+    return F.map_filter(tags, lambda k, _: ~F.contains(k, F.lit("email")) & ~F.contains(k, F.lit("phone")))
+
+
+# Contact columns of all payloads, and those of one source besides.
+CONTACT_COLUMNS = ["email", "site_email", "contact:email", "operator:email", "wd_P968_email", "דואר אלקטרוני", "phone", "site_phone", "contact:phone", "operator:phone", "wd_P1329_phone_number", "מספר טלפון"]
+HERITAGE_CONTACTS = ["shimur_info_block__טלפון", "shimur_info_block__דוא''ל", "marker_kv_דוא“ל", "marker_kv_טלפון"]
+PERSON, KIND = "אדם", "סוג רשומה"
+
+
+def redact_payload(source: str, rows: DataFrame) -> DataFrame:
+    """The gate of every payload that is archived: persons' rows and a licence's holder go by the source's own rule; then, for all sources, contact columns and contact tags, and every mail address in any text."""
+    persons = None
+    if source == "iicp_culture_table":
+        person = F.trim(F.col(f"`{KIND}`")) == PERSON if KIND in rows.columns else F.lit(False)
+        persons = person | (F.coalesce(F.col("_excluded"), F.lit(False)) if "_excluded" in rows.columns else F.lit(False))
+    if source == "culture_institutions" and "business_licence" in rows.columns:
+        names = rows.schema["business_licence"].dataType.names
+        licence = F.col("business_licence")
+        kept = [licence[n].alias(n) for n in ("licence_type", "valid_until") if n in names]
+        rows = rows.withColumn("business_licence", F.when(licence.isNotNull(), F.struct(*kept)) if kept else F.lit(None).cast("string"))
+    if "osm_tags" in rows.columns:
+        rows = rows.withColumn("osm_tags", drop_tags(F.col("osm_tags")))
+    more = HERITAGE_CONTACTS if source == "heritage_official" else []
+    return drop_columns(rows, CONTACT_COLUMNS + more, persons)
 
 
 def leaks(texts: DataFrame, column: str, key: str) -> DataFrame:

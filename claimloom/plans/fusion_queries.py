@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimloom.functions import geo, names
+from claimloom.functions import geo
 from claimloom.functions.vocab import AXES, CATEGORIES, PERIODS
 from claimloom.operators import audit, facets, joins, merge, redact
 from claimloom.sources.files import table
@@ -42,8 +42,8 @@ def nearest_place(spark, sf_dir):
 
 
 def radius_cover(spark, sf_dir):
-    features = _suppliers(spark, sf_dir).withColumn("radius_m", (F.col("place") % 1461 + 40).cast("double")).withColumnRenamed("place", "feature")
-    return joins.within_own_radius(_customers(spark, sf_dir), features, "id", 1500.0)
+    features = _suppliers(spark, sf_dir).withColumn("radius_m", (F.col("place") % 1000 + 2000).cast("double")).withColumnRenamed("place", "feature")
+    return joins.within_own_radius(_customers(spark, sf_dir), features, "id", 3000.0)
 
 
 def plus_codes(spark, sf_dir):
@@ -61,11 +61,6 @@ def detected_grid(spark, sf_dir):
     return table(spark, sf_dir, "part").select(k.alias("id"), geo.detect_grid((k * 7919 % 400000).cast("double"), (k * 104729 % 900000 - 70000).cast("double")).alias("grid"))
 
 
-def name_keys(spark, sf_dir):
-    p = F.col("p_name")
-    return table(spark, sf_dir, "part").select(F.col("p_partkey").cast("long").alias("id"), names.key(p).alias("key"), names.loose_key(p).alias("loose"), names.is_generic(names.key(p)).alias("generic"))
-
-
 def _status_rows(spark, sf_dir):
     k = F.col("o_orderkey").cast("long")
     return table(spark, sf_dir, "orders").select(k.alias("id"), *(_pick(k, v, 7 + 2 * i).alias(a) for i, (a, (v, _)) in enumerate(AXES.items())), _pick(k, CATEGORIES, 11).alias("category"))
@@ -96,34 +91,6 @@ def period_histogram(spark, sf_dir):
     return facets.list_histogram(_period_rows(spark, sf_dir).groupBy("cluster_id").agg(F.collect_list("period").alias("p")), "p")
 
 
-def resolved_statuses(spark, sf_dir):
-    """Precedence over all axes: line items are claims on their order's statuses by the sources that their supplier stands for."""
-    sources = ["declared_antiquities", "iaa_cluster_table", "iaa_discover", "heritage_official", "blue_signs", "culture_institutions", "osm_wikidata"]
-    k, n = F.col("l_orderkey").cast("long"), F.col("l_linenumber").cast("long")
-    claims = table(spark, sf_dir, "lineitem").select(
-        k.alias("cluster_id"), n.alias("ord"), _pick(F.col("l_suppkey").cast("long"), sources, 1).alias("source_id"),
-        F.create_map(F.lit("reg_antiquity"), _pick(k + n, AXES["reg_antiquity"][0], 3), F.lit("excavation"), _pick(k + n, AXES["excavation"][0], 5)).alias("statuses"),
-    )
-    out = merge.resolve_statuses(claims)
-    return out.select("cluster_id", F.col("statuses")["reg_antiquity"].alias("reg_antiquity"), F.col("statuses")["excavation"].alias("excavation"), F.size("conflicts").alias("n_conflicts"))
-
-
-_RESOLVED = """WITH c AS (SELECT CAST(l_orderkey AS BIGINT) AS k, CAST(l_linenumber AS BIGINT) AS n, {source} AS s, {reg} AS ra, {exc} AS ex FROM lineitem),
-u AS (SELECT k, n, s, 'reg_antiquity' AS axis, ra AS v FROM c WHERE s IN ('declared_antiquities', 'iaa_cluster_table', 'iaa_discover') UNION ALL SELECT k, n, s, 'excavation', ex FROM c),
-r AS (SELECT *, CASE WHEN axis = 'reg_antiquity' THEN CASE s WHEN 'declared_antiquities' THEN 0 WHEN 'iaa_cluster_table' THEN 1 ELSE 2 END
- ELSE CASE s WHEN 'iaa_discover' THEN 0 WHEN 'iaa_cluster_table' THEN 1 ELSE 99 END END AS p,
- CASE s WHEN 'declared_antiquities' THEN 1 WHEN 'iaa_cluster_table' THEN 2 WHEN 'iaa_discover' THEN 2 WHEN 'osm_wikidata' THEN 5 ELSE 3 END AS rk FROM u WHERE v <> 'unknown'),
-w AS (SELECT *, first_value(v) OVER (PARTITION BY k, axis ORDER BY p, rk, n) AS chosen FROM r),
-a AS (SELECT k, axis, any_value(chosen) AS chosen, count(*) FILTER (WHERE v <> chosen) > 0 AS c FROM w GROUP BY k, axis)
-SELECT o.k AS cluster_id, coalesce(max(chosen) FILTER (WHERE axis = 'reg_antiquity'), 'unknown') AS reg_antiquity, coalesce(max(chosen) FILTER (WHERE axis = 'excavation'), 'unknown') AS excavation,
-CAST(count(*) FILTER (WHERE a.c) AS INT) AS n_conflicts FROM (SELECT DISTINCT k FROM c) o LEFT JOIN a ON a.k = o.k GROUP BY o.k"""
-
-
-def audit_names(spark, sf_dir):
-    rows = table(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("name"))
-    return audit.findings(rows, "doc_id", {k: v for k, v in audit.name_rules(F.col("name")).items() if k in ("name_missing", "name_too_long", "name_latin_only")})
-
-
 def audit_statuses(spark, sf_dir):
     """Axes with a value that don't apply to the category, and contradicting registrations, by severity and kind."""
     rows = _status_rows(spark, sf_dir)
@@ -160,8 +127,8 @@ def events_attached(spark, sf_dir):
 QUERIES = {
     f.__name__: f
     for f in (
-        nearest_place, radius_cover, plus_codes, in_polygon, detected_grid, name_keys, registration_summary, status_distribution, period_union, period_histogram,
-        resolved_statuses, audit_names, audit_statuses, redacted, leak_check, filtered, events_attached,
+        nearest_place, radius_cover, plus_codes, in_polygon, detected_grid, registration_summary, status_distribution, period_union, period_histogram,
+        audit_statuses, redacted, leak_check, filtered, events_attached,
     )
 }
 
@@ -175,7 +142,7 @@ _PUBLIC = "(ri IN ('recognized_museum', 'public_library') OR ow IN ('state', 'co
 ORACLES = {
     "nearest_place": f"""WITH b AS ({_SUP}), a AS ({_CUS}), d AS (SELECT a.id, b.place, {_METRES} AS d FROM a, b), r AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY d, place) AS n FROM d)
 SELECT id, place, round(d / 1000, 2) AS km FROM r WHERE n = 1""",
-    "radius_cover": f"""WITH b AS ({_SUP}), a AS ({_CUS}), d AS (SELECT a.id, b.place AS feature, {_METRES} AS d FROM a JOIN b ON abs(a.lat - b.lat) < 0.05 AND abs(a.lon - b.lon) < 0.05 AND {_METRES} <= b.place % 1461 + 40),
+    "radius_cover": f"""WITH b AS ({_SUP}), a AS ({_CUS}), d AS (SELECT a.id, b.place AS feature, {_METRES} AS d FROM a JOIN b ON abs(a.lat - b.lat) < 0.05 AND abs(a.lon - b.lon) < 0.05 AND {_METRES} <= b.place % 1000 + 2000),
 r AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY d, feature) AS n FROM d) SELECT id, feature, round(d, 2) AS metres FROM r WHERE n = 1""",
     "plus_codes": f"""WITH g AS (SELECT id, CAST(floor((lat + 0.00003::DOUBLE + 90) * 8000 + 0.000001::DOUBLE) AS BIGINT) AS y, CAST(floor((lon + 0.00003::DOUBLE + 180) * 8000 + 0.000001::DOUBLE) AS BIGINT) AS x FROM ({_CUS}))
 SELECT id, {" || ".join(_DIGIT(v, 20 ** (4 - k)) for k in range(4) for v in "yx")} || '+' || {_DIGIT("y", 1)} || {_DIGIT("x", 1)} AS code FROM g""",
@@ -191,12 +158,6 @@ WHEN 'unknown' IN (reg_antiquity, reg_conservation, reg_institution, protected_a
     "period_union": f"""WITH r AS ({_PERIOD}), u AS (SELECT DISTINCT k, p, {_NUMBER} AS i FROM r)
 SELECT k AS cluster_id, string_agg(p, ',' ORDER BY i) AS periods, CASE WHEN min(i) < 15 THEN 'archaeological' ELSE 'historic' END AS era FROM u GROUP BY k""",
     "period_histogram": f"SELECT p AS value, count(DISTINCT k) AS n FROM ({_PERIOD}) GROUP BY p",
-    "resolved_statuses": _RESOLVED.format(
-        source=_picked("l_suppkey", ["declared_antiquities", "iaa_cluster_table", "iaa_discover", "heritage_official", "blue_signs", "culture_institutions", "osm_wikidata"], 1),
-        reg=_picked("(l_orderkey + l_linenumber)", AXES["reg_antiquity"][0], 3), exc=_picked("(l_orderkey + l_linenumber)", AXES["excavation"][0], 5),
-    ),
-    "audit_names": """SELECT doc_id, 'name_missing' AS kind, 'high' AS severity FROM documents WHERE coalesce(trim(text, ' '), '') = '' UNION ALL SELECT doc_id, 'name_too_long', 'low' FROM documents WHERE trim(text, ' ') <> '' AND length(text) > 90
-UNION ALL SELECT doc_id, 'name_latin_only', 'medium' FROM documents WHERE trim(text, ' ') <> '' AND regexp_matches(text, '[A-Za-z]{4,}') AND NOT regexp_matches(text, '[א-ת]')""",
     "audit_statuses": f"WITH s AS ({_STATUS}) " + " UNION ALL ".join(f"SELECT id, 'not_applicable_{k}' AS kind, 'low' AS severity FROM s WHERE {k} <> 'unknown' AND category NOT IN ({', '.join(map(repr, on))})" for k, (_, on) in AXES.items() if len(on) < 3),
     "redacted": f"""WITH c AS (SELECT CAST(c_custkey AS BIGINT) AS id, c_custkey % 3 <> 0 AS m, c_custkey % 5 <> 0 AS p, {_picked("c_custkey", AXES["reg_institution"][0], 3)} AS ri, {_picked("c_custkey", AXES["ownership"][0], 3)} AS ow FROM customer),
 r AS (SELECT *, p AND NOT {_PUBLIC} AS hide FROM c)
@@ -205,6 +166,3 @@ SELECT id, CAST(NULL AS VARCHAR) AS email, CASE WHEN p AND NOT hide THEN '04-' |
     "filtered": "SELECT doc_id FROM documents WHERE lang IN ('en', 'de') AND contains(lower(concat_ws(' ', text, source)), 'the')",
     "events_attached": """SELECT c_custkey AS id, y.years FROM customer LEFT JOIN (SELECT o_custkey, string_agg(DISTINCT CAST(year(o_orderdate) AS VARCHAR), ',' ORDER BY CAST(year(o_orderdate) AS VARCHAR)) AS years FROM orders GROUP BY o_custkey) y ON o_custkey = c_custkey""",
 }
-ORACLES["name_keys"] = """WITH RECURSIVE b AS (SELECT CAST(p_partkey AS BIGINT) AS id, trim(regexp_replace(replace(p_name, '-', ' '), '\\s+', ' ', 'g')) AS key FROM part),
-l AS (SELECT id, key, '' AS loose, 1 AS i FROM b UNION ALL SELECT id, key, CASE WHEN right(loose, 1) = substr(key, i, 1) AND loose <> '' THEN loose ELSE loose || substr(key, i, 1) END, i + 1 FROM l WHERE i <= length(key))
-SELECT id, key, loose, false AS generic FROM l WHERE i = length(key) + 1"""

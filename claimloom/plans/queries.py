@@ -1,4 +1,4 @@
-"""Queries on the test tables, and their DuckDB counterparts. Customers stand for place-like claims: their coordinates and ranks are derived from their keys."""
+"""Queries on the test tables, and their DuckDB counterparts. """
 
 from __future__ import annotations
 
@@ -10,33 +10,6 @@ from claimloom.operators import facets, fusion
 from claimloom.sources.files import table
 
 
-def _claims(spark: SparkSession, sf_dir: str) -> DataFrame:
-    k = F.col("c_custkey").cast("long")
-    return table(spark, sf_dir, "customer").select(k.alias("claim_id"), (31.0 + (k * 7919 % 50000) / 100000.0).alias("lat"), (34.0 + (k * 104729 % 50000) / 100000.0).alias("lon"), "c_nationkey", "c_mktsegment")
-
-
-_CLAIMS = "SELECT CAST(c_custkey AS BIGINT) AS claim_id, 31.0 + (CAST(c_custkey AS BIGINT) * 7919 % 50000) / 100000.0::DOUBLE AS lat, 34.0 + (CAST(c_custkey AS BIGINT) * 104729 % 50000) / 100000.0::DOUBLE AS lon FROM customer"
-
-
-def near_links(spark, sf_dir):
-    return fusion.near_links(_claims(spark, sf_dir), 300.0).select("i", "j", F.round("metres", 2).alias("metres"))
-
-
-def name_links(spark, sf_dir):
-    parts = table(spark, sf_dir, "part").select(F.col("p_partkey").cast("long").alias("claim_id"), F.concat_ws(" ", "p_name", "p_brand").alias("key"))
-    return fusion.name_links(parts, "key")
-
-
-def precedence(spark, sf_dir):
-    o = table(spark, sf_dir, "orders").select("o_custkey", "o_orderstatus", "o_orderpriority", "o_orderkey")
-    return fusion.resolve(o, "o_custkey", "o_orderstatus", [F.col("o_orderpriority"), F.col("o_orderkey")])
-
-
-def existence(spark, sf_dir):
-    o = table(spark, sf_dir, "orders").select("o_custkey", "o_orderpriority", F.substring("o_orderpriority", 1, 1).cast("int").alias("rank"))
-    return fusion.existence(o, "o_custkey", "o_orderpriority", "rank")
-
-
 def stable_ids(spark, sf_dir):
     p = table(spark, sf_dir, "part").select("p_partkey", "p_name")
     return fusion.stable_ids(p, F.lit("site"), "p_name", ["p_partkey"]).select("p_partkey", "site_id")
@@ -62,16 +35,8 @@ def email_scrub(spark, sf_dir):
     return d.select("doc_id", F.sha2(scrub_emails(F.coalesce("text", F.lit(""))), 256).alias("scrubbed_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (near_links, name_links, precedence, existence, stable_ids, facet_counts, coverage, top_values, email_scrub)}
+QUERIES = {f.__name__: f for f in (stable_ids, facet_counts, coverage, top_values, email_scrub)}
 ORACLES = {
-    "near_links": f"""WITH c AS (SELECT *, CAST(trunc(lat / 0.01) AS BIGINT) AS cy, CAST(trunc(lon / 0.01) AS BIGINT) AS cx FROM ({_CLAIMS})),
-p AS (SELECT a.claim_id AS i, b.claim_id AS j, 2 * 6371008.8 * asin(sqrt(pow(sin(radians(b.lat - a.lat) / 2), 2) + cos(radians(a.lat)) * cos(radians(b.lat)) * pow(sin(radians(b.lon - a.lon) / 2), 2))) AS m
-FROM c a JOIN c b ON a.claim_id < b.claim_id AND abs(a.cy - b.cy) <= 1 AND abs(a.cx - b.cx) <= 1) SELECT i, j, round(m, 2) AS metres FROM p WHERE m <= 300""",
-    "name_links": """WITH k AS (SELECT CAST(p_partkey AS BIGINT) AS id, concat_ws(' ', p_name, p_brand) AS key FROM part) SELECT m.i, k.id AS j FROM k JOIN (SELECT key, min(id) AS i FROM k GROUP BY key) m USING (key) WHERE m.i < k.id AND length(key) >= 3""",
-    "precedence": """WITH o AS (SELECT o_custkey, o_orderstatus, first_value(o_orderstatus) OVER (PARTITION BY o_custkey ORDER BY o_orderpriority, o_orderkey) AS chosen FROM orders WHERE o_orderstatus <> '')
-SELECT o_custkey, any_value(chosen) AS chosen, count(*) AS n_claims, count(*) FILTER (WHERE o_orderstatus <> chosen) AS n_losing FROM o GROUP BY o_custkey""",
-    "existence": """WITH s AS (SELECT DISTINCT o_custkey, o_orderpriority, CAST(substr(o_orderpriority, 1, 1) AS INT) AS r FROM orders)
-SELECT o_custkey, round(least(0.99, 1 - product(1 - CASE r WHEN 1 THEN 0.92::DOUBLE WHEN 2 THEN 0.90::DOUBLE WHEN 3 THEN 0.85::DOUBLE WHEN 4 THEN 0.75::DOUBLE WHEN 5 THEN 0.75::DOUBLE WHEN 6 THEN 0.65::DOUBLE ELSE 0.7::DOUBLE END)), 3) AS existence FROM s GROUP BY o_custkey""",
     "stable_ids": """WITH b AS (SELECT p_partkey, 'site-' || substr(sha1(p_name), 1, 6) AS id FROM part), n AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY p_partkey) AS n FROM b)
 SELECT p_partkey, CASE WHEN n = 1 THEN id ELSE id || '-' || n END AS site_id FROM n""",
     "facet_counts": """SELECT 'p_brand' AS facet, p_brand AS value, count(*) AS n FROM part WHERE p_size IN (24, 10, 5, 30, 1) GROUP BY p_brand

@@ -1,6 +1,7 @@
 """One adapter for each source: payload rows in, claims out. Each says which rows belong, what their columns mean, and what the source may state.
 
-inside_m is the signed distance to the boundary in metres, as an expression over the rows' lat and lon; rows more than APRON outside go, so that a place just over the line can still be matched. Columns
+inside_m is the signed distance to the boundary in metres: an expression over the rows' lat and lon, or a function that adds it to rows as column _inside_m; rows more than APRON outside go, so that a place
+just over the line can still be matched. Columns
 that a payload doesn't have count as null. localities are the known settlements' names, a closed list.
 """
 
@@ -60,6 +61,11 @@ def is_false(name: str) -> Column:
     return F.coalesce(F.col(f"`{name}`") == False, F.lit(False))  # noqa: E712
 
 
+def measured(rows: DataFrame, inside_m) -> tuple[DataFrame, Column | None]:
+    """rows and the expression of their distance."""
+    return (rows, inside_m) if inside_m is None or isinstance(inside_m, Column) else (inside_m(rows), F.col("_inside_m"))
+
+
 def in_scope(inside_m: Column | None) -> Column:
     there = F.col("lat").isNotNull() & F.col("lon").isNotNull()
     return there if inside_m is None else there & F.coalesce(inside_m > APRON, F.lit(False))
@@ -226,7 +232,7 @@ def class_relevance() -> Column:
 
 def map_cross_check(rows: DataFrame, inside_m: Column | None = None, localities: list[str] = ()) -> DataFrame:
     """Records of an open map and an open knowledge base: located, inside (or marked as inside, without a boundary), relevant by either side's rules, and named."""
-    rows = padded(rows, CROSS_CHECK).where("lat is not null and lon is not null")
+    rows, inside_m = measured(padded(rows, CROSS_CHECK).where("lat is not null and lon is not null"), inside_m)
     rows = rows.where(F.coalesce(inside_m >= APRON, F.lit(False)) if inside_m is not None else is_true("in_council_boundary"))
     rows = rows.withColumns({"_why_map": F.when(F.col("rec_source").isin("osm", "both"), map_relevance()), "_why_class": F.when(F.col("rec_source").isin("wikidata", "both"), class_relevance())})
     rows = rows.where(F.col("_why_map").isNotNull() | F.col("_why_class").isNotNull())
@@ -297,6 +303,7 @@ def antiquities_register(rows: DataFrame, inside_m: Column | None = None, locali
     found = excavations_by_site(rows)
     at = F.when(F.col("lat").isNull(), try_to_wgs84(F.col("derived_itm_x"), F.col("derived_itm_y"), AREA))
     sites = rows.where("_record_type in ('declared_site', 'survey_site')").withColumn("_at", at).withColumn("lon", F.when(F.col("lat").isNull(), F.col("_at.lon")).otherwise(F.col("lon"))).withColumn("lat", F.coalesce("lat", F.col("_at.lat")))
+    sites, inside_m = measured(sites, inside_m)
     sites = sites.where(in_scope(inside_m))
     plain = lambda c: F.trim(F.regexp_replace(F.regexp_replace(text(c), r"^\s*(?:אתר מוכרז|אתר עתיקות מוכרז)\s*", ""), r"\s+\d{1,6}\s*$", ""))
     known = F.coalesce(*(F.when(plain(c) != "", plain(c)) for c in ("atarOfficialName", "title_he", "name_heb", "agol_ata_shem")))
@@ -337,7 +344,8 @@ SURVEYED = "OBJECTID string, GlobalID string, NAME_HEB string, ADDITIONAL_NAME_H
 
 def declared_antiquities(polygons: DataFrame, points: DataFrame, inside_m: Column | None = None) -> DataFrame:
     """Declared polygons, whose area decides the precision, and survey points, which are known and not declared; the points' numbers are a survey map's and no identifiers."""
-    p = padded(polygons, DECLARED).where(in_scope(inside_m)).withColumn("_split", catalog_name(F.col("ata_shem"), TYPE_TERMS))
+    p, near = measured(padded(polygons, DECLARED), inside_m)
+    p = p.where(in_scope(near)).withColumn("_split", catalog_name(F.col("ata_shem"), TYPE_TERMS))
     area, described = F.col("Shape__Area"), text("atar_heb_desc")
     one = claims(
         p, "declared_antiquities", F.concat(F.lit("poly:"), F.coalesce("objectid", F.lit("None"))), F.col("_split.name"), [text("ata_shem"), text("hachraza_name_hebrew")], name_en=text("hachraza_name_english"),
@@ -348,7 +356,8 @@ def declared_antiquities(polygons: DataFrame, points: DataFrame, inside_m: Colum
             "extra": {"atar_number": text("atar_number"), "gazette": text("_gazette_reference"), "polygon_area_m2": F.bround(area).cast("long")},
         },
     )
-    s = padded(points, SURVEYED).where(in_scope(inside_m)).withColumn("_split", catalog_name(F.col("NAME_HEB"), TYPE_TERMS))
+    s, near = measured(padded(points, SURVEYED), inside_m)
+    s = s.where(in_scope(near)).withColumn("_split", catalog_name(F.col("NAME_HEB"), TYPE_TERMS))
     plain = without_tags(F.col("DESCRIPTION_HEB"))
     described, listed = F.when(plain != "", plain), listed_periods(text("PERIOD_HEB"))
     two = claims(
@@ -369,7 +378,7 @@ SIGNS = (
 
 def blue_signs(rows: DataFrame, inside_m: Column | None = None, localities: list[str] = ()) -> DataFrame:
     """Blue signs: located rows in scope, and rows without a position that are tied to a settlement of the council. A year counts only after a founding phrase of the sign's own text."""
-    rows = padded(rows, SIGNS)
+    rows, inside_m = measured(padded(rows, SIGNS), inside_m)
     tied = is_true("in_emek_yizrael_council_boundary") | F.coalesce(F.col("emek_yizrael_settlement_matched") != "", F.lit(False)) | is_true("settlement_matches_emek_yizrael_list")
     there = F.col("lat").isNotNull() & F.col("lon").isNotNull()
     rows = rows.where(F.when(there, in_scope(inside_m)).otherwise(tied))
@@ -404,6 +413,7 @@ def institutions(rows: DataFrame, inside_m: Column | None = None) -> DataFrame:
     """Cultural institutions that are in scope. Without a position, the settlement's centre stands in; a stated absence of access is tested before access."""
     rows = padded(rows, INSTITUTIONS).where(is_true("in_scope_for_map")).withColumn("_own", F.col("lat").isNotNull())
     rows = rows.withColumns({"lat": F.coalesce("lat", "fallback_settlement_lat"), "lon": F.when(F.col("_own"), F.col("lon")).otherwise(F.col("fallback_settlement_lon"))})
+    rows, inside_m = measured(rows, inside_m)
     rows = rows if inside_m is None else rows.where(F.col("lat").isNull() | F.coalesce(inside_m > APRON, F.lit(True)))
     access, body, fee, activity = text("accessibility"), F.coalesce(text("operating_body"), F.lit("")), text("admission"), text("active")
     centre = ~F.col("_own") & F.col("lat").isNotNull()
@@ -442,7 +452,8 @@ PLAN_RECORDS, PARK_RECORD = ["iplan_conservation_polygon", "iplan_conservation_p
 
 def heritage_records(rows: DataFrame, inside_m: Column | None = None, localities: list[str] = ()) -> DataFrame:
     """The named records of the heritage bodies; designations become the overlay instead."""
-    rows = padded(rows, HERITAGE).where(F.col("record_type").isin(NAMED_RECORDS) & in_scope(inside_m))
+    rows, inside_m = measured(padded(rows, HERITAGE).where(F.col("record_type").isin(NAMED_RECORDS)), inside_m)
+    rows = rows.where(in_scope(inside_m))
     kind, note, about = F.col("record_type"), F.coalesce(text("period"), F.lit("")), text("shimur_text")
     name = F.coalesce(text("site_name"), text("shimur_title"), text("title"))
     restored = has(text("conservation_history"), "שוחזר", "שוקם") | has(about, "שוחזר")
@@ -471,7 +482,8 @@ def heritage_records(rows: DataFrame, inside_m: Column | None = None, localities
 
 def statutory_overlay(rows: DataFrame, inside_m: Column | None = None) -> DataFrame:
     """(axis, feature, lat, lon, radius_m, value, designation, plan, plan_number, stage, record_type, source_id): designations as points with the radius of a circle of their area, within bounds."""
-    rows = padded(rows, HERITAGE).where(in_scope(inside_m))
+    rows, inside_m = measured(padded(rows, HERITAGE), inside_m)
+    rows = rows.where(in_scope(inside_m))
     plan, park = F.col("record_type").isin(PLAN_RECORDS), F.col("record_type") == PARK_RECORD
     named, protected = F.coalesce(text("mavat_name"), text("statutory_designation")), F.coalesce(text("designation_type"), text("TYPE_NAME"))
     approved = F.coalesce(text("station_desc").isin(APPROVED_STAGES), F.lit(False))
@@ -499,6 +511,7 @@ ADDED = (
 def manual_additions(rows: DataFrame, inside_m: Column | None = None) -> DataFrame:
     """Entries that a person supplied: named ones, in scope if they have a position; periods and types are checked against the vocabularies."""
     rows = padded(rows, ADDED).where("name is not null and name != ''")
+    rows, inside_m = measured(rows, inside_m)
     rows = rows.where(F.col("lat").isNull() | in_scope(inside_m))
     types = [t for group in SITE_TYPES.values() for t in group] + ["unknown"]
     supplied = {k: F.col(k) for k in ("supplied_by", "supplied_on", "source_note")}
@@ -513,9 +526,18 @@ def manual_additions(rows: DataFrame, inside_m: Column | None = None) -> DataFra
     )
 
 
+def _either(payloads: dict[str, DataFrame], one: str, two: str) -> tuple[DataFrame, DataFrame]:
+    """Two payloads of which one may be missing: it is empty then."""
+    there = payloads.get(one, payloads.get(two))
+    if there is None:
+        raise KeyError(one)
+    none = there.sparkSession.range(0).select(F.lit(None).cast("double").alias("lat"), F.lit(None).cast("double").alias("lon"))
+    return payloads.get(one, none), payloads.get(two, none)
+
+
 #: Adapters by source. Each takes its payloads, by name, and the context (inside_m, localities), and uses what it needs.
 ADAPTERS: dict[str, Callable[[dict[str, DataFrame], Column | None, list[str]], DataFrame]] = {
-    "declared_antiquities": lambda p, inside, _: declared_antiquities(p["declared_antiquities"], p["declared_antiquities_known_survey_points"], inside),
+    "declared_antiquities": lambda p, inside, _: declared_antiquities(*_either(p, "declared_antiquities", "declared_antiquities_known_survey_points"), inside),
     "iaa_discover": lambda p, inside, known: antiquities_register(p["iaa_discover"], inside, known),
     "iaa_cluster_table": lambda p, *_: conservation_survey(p["iaa_cluster_table"]),
     "heritage_official": lambda p, inside, known: heritage_records(p["heritage_official"], inside, known),

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from claimloom.functions import geo, names
-from claimloom.operators import audit, facets, joins, matching, merge, redact
+from claimloom.operators import audit, facets, joins, matching, merge, redact, sites
 
 CLAIM = (
     "claim_id long, source_id string, record_id string, ord long, name string, names_alt array<string>, category_hint string, type string, lat double, lon double, "
@@ -110,25 +110,92 @@ def test_scores_by_distance_and_identifier(spark):
     assert got[4].rank == 2.0 and got[5].rank == 1.5
 
 
+def as_claims(spark, rows):
+    """Rows of claim() with a cluster in front, padded to the contract."""
+    from claimloom.sources.claims import CLAIM as CONTRACT
+
+    df = spark.createDataFrame(rows, "cluster_id long, " + CLAIM)
+    for c, t in CONTRACT.items():
+        if c not in df.columns:
+            df = df.withColumn(c, F.lit(None).cast(t))
+    lists = {c: F.coalesce(c, F.array().cast("array<string>")) for c in ("excavation_years", "excavation_licenses", "excavators")}
+    return df.withColumns(lists | {c: F.coalesce(c, F.create_map().cast("map<string,string>")) for c in ("practical", "extra")})
+
+
 def test_merge_rules(spark):
     rows = [
-        (1, *claim(1, "declared_antiquities", "א", 32.7, 35.2, periods=["roman", "iron"], year_from=1950, statuses={"reg_antiquity": "declared"})[1:]),
-        (1, *claim(2, "osm_wikidata", "ב", 32.7001, 35.2, statuses={"reg_antiquity": "none", "condition": "fair"})[1:]),
-        (3, *claim(3, "amudanan", "ג", hint=None, location_precision=None)[1:]),
-    ]
-    claims = spark.createDataFrame(rows, CLAIM.replace("claim_id", "cluster_id", 1))
-    got = {r.cluster_id: r for r in merge.fuse(claims).collect()}
-    one, three = got[1], got[3]
+        (1, *claim(1, "declared_antiquities", "א", 32.7, 35.2, periods=["roman", "iron"], year_from=1950, statuses={"reg_antiquity": "declared"})),
+        (1, *claim(2, "osm_wikidata", "ב", 32.7001, 35.2, statuses={"reg_antiquity": "none", "condition": "fair"})),
+        (3, *claim(3, "amudanan", "ג", hint=None, location_precision=None)),
+        (5, *claim(5, "heritage_official", "תל א", hint="historic")), (5, *claim(6, "blue_signs", "טל-א", hint="historic", year_from=1900)), (5, *claim(7, "iaa_discover", "אחר", hint="historic", year_from=1900)),
+    ]
+    claims = as_claims(spark, rows)
+    made = sites.merged_sites(claims)
+    got = {r.cluster_id: r for r in made.collect()}
+    one, three, five = got[1], got[3], got[5]
     assert (one.category, one.categories, one.era_basis, one.reg_summary) == ("archaeological", ["archaeological", "historic"], "authority_and_periods", "registered")
-    assert one.periods == ["iron", "roman"] and one.statuses["reg_antiquity"] == "declared" and one.conflicts == []
-    assert one.components.existence == 0.98 and one.components.location == 0.98
+    assert one.periods == ["iron", "roman"] and one.statuses["reg_antiquity"] == "declared"
+    assert [(c.field, c.chosen, [r.value for r in c.rejected]) for c in one.conflicts] == [("name", "א", ["ב"])]
+    assert [(c.source_id, c.reason) for c in one.log if c.field == "reg_antiquity" and not c.used] == [("osm_wikidata", sites.NOT_THE_AUTHORITY)]
+    assert one.components.existence == 0.98 and one.components.location == 0.98 and one.itm_x is not None
     assert "stated_year_1950_contradicts_periods" in one.review_reasons
     assert (three.category, three.era_basis, three.components.location) == ("archaeological", "unknown", 0.05)
     assert three.review_reasons == ["no_coordinate", "era_undetermined", "single_weak_source"]
-    name = {r.cluster_id: r for r in merge.resolve_field(claims, "name").collect()}[1]
-    assert name.value == "א" and name.provenance == ["declared_antiquities"] and name.conflict.rejected[0].value == "ב"
-    over = merge.apply_overlay(merge.fuse(claims), spark.createDataFrame([(1, "national_park", "heritage_official")], "cluster_id long, value string, source_id string"), "protected_area")
-    assert {r.cluster_id: r.statuses["protected_area"] for r in over.collect()} == {1: "national_park", 3: "unknown"}
+    # names go by the category's list: blue signs first, and two spellings of one key agree
+    assert five.name == "טל-א" and five.provenance["name"] == ["blue_signs", "heritage_official"] and [c.field for c in five.conflicts] == ["name"]
+    cover = spark.createDataFrame([("protected_area", 1, 32.7, 35.2, 500.0, "national_park", "d", "p", None, None, "tmm", "heritage_official")], "axis string, feature long, lat double, lon double, radius_m double, value string, designation string, plan string, plan_number string, stage string, record_type string, source_id string")
+    over = {r.cluster_id: r for r in sites.overlaid(made, cover).collect()}
+    assert over[1].statuses["protected_area"] == "national_park" and over[3].statuses["protected_area"] == "unknown"
+    assert over[1].status_axes_known == one.status_axes_known + 1 and over[1].provenance["protected_area"] == ["heritage_official"] and over[1].log[-1].value == "national_park"
+
+
+def test_localities_are_no_patterns(spark):
+    rows = spark.createDataFrame([("בית העם x(y",), ("בית a.b",), ("בית acb",)], "n string")
+    odd = ["x(y", "a.b"]
+    got = [tuple(r) for r in rows.select(names.is_generic(names.key(rows.n), odd), names.distinctive(names.key(rows.n), odd)).collect()]
+    assert got[1] == (True, "בית a.b") and got[2] == (False, "acb")
+
+
+@pytest.mark.parametrize(("a", "b", "least", "most"), [
+    ("חורבת שמרון", "חירבת שמרון", 1.0, 1.0), ("תל שמרון", "חורבת שמרון", 0.85, 1.0), ("תל שמרון", "תל שימרון", 0.85, 1.0), ("מוזיאון בית הראשונים", "בית הראשונים", 0.0, 1.0), ("תל שמרון", "תל מגידו", 0.0, 0.5), ("כפר יהושע", "כפר ברוך", 0.0, 0.5), ("", "תל", 0.0, 0.01),
+])
+def test_similarity_bounds(spark, a, b, least, most):
+    s = spark.createDataFrame([(a, b)], "a string, b string").select(names.similarity(F.col("a"), F.col("b"))).first()[0]
+    assert least <= s <= most
+
+
+def test_nearest_across_the_meridian_and_early_stop(spark):
+    rows = spark.createDataFrame([(1, 10.0, 179.99), (2, 32.0, 35.0), (3, None, None)], "id long, lat double, lon double")
+    places = spark.createDataFrame([(7, 10.0, -179.99), (8, 10.0, 178.0), (9, 32.001, 35.0)], "place long, lat double, lon double")
+    assert sorted((r.id, r.place) for r in joins.nearest(rows, places, "id").collect()) == [(1, 7), (2, 9)]
+
+
+def test_archives_inputs_and_shapes(spark, tmp_path):
+    from claimloom.operators import publish
+    from claimloom.sources import claims as reader
+
+    rows = spark.createDataFrame([("a@b.co", "to x@y.org", "keep")], "email string, note string, name string")
+    publish.write_archive(rows, "heritage_official", str(tmp_path / "frozen" / "h.json.gz"))
+    assert spark.read.json(str(tmp_path / "frozen" / "h.json.gz")).first().asDict() == {"note": "to [הוסר]", "name": "keep"}
+    (tmp_path / "work").mkdir()
+    (tmp_path / "work" / "a.json").write_text("[]")
+    (tmp_path / "work" / "b.json.gz").write_text("")
+    folders = {"working": str(tmp_path / "work"), "frozen": str(tmp_path / "frozen")}
+    assert [tuple(r) for r in publish.inventory(spark, ["a.json", "b.json", "h.json", "c.json"], folders).collect()] == [("a.json", "working"), ("b.json", "working.gz"), ("h.json", "frozen.gz"), ("c.json", "MISSING")]
+    ring = [[0.0, 0.0], [50.0, 1.0], [100.0, 0.0], [100.0, 100.0], [0.0, 100.0], [0.0, 0.0]]
+    rings = spark.createDataFrame([(0, 0, ring), (0, 1, [[40.0, 40.0], [60.0, 40.0], [60.0, 60.0], [40.0, 40.0]])], "part int, ring int, points array<array<double>>")
+    thin = {r.ring: r.points for r in publish.simplified(rings, 10.0).collect()}
+    assert thin[0] == [[0.0, 0.0], [100.0, 0.0], [100.0, 100.0], [0.0, 100.0], [0.0, 0.0]] and len(thin[1]) == 4
+    assert publish.bounding_box(rings).first() == (0.0, 0.0, 100.0, 100.0) and publish.scrim(rings).count() == 3
+    publish.write_csv_document(spark.createDataFrame([("1", 'a "b"'), ("0", None)], "id string, t string"), {"id": "id", "t": "text"}, str(tmp_path / "csv"))
+    (part,) = (tmp_path / "csv").glob("part-*")
+    assert part.read_bytes().decode() == '\ufeffid,text\r\n0,\r\n1,"a ""b"""\r\n'
+    (tmp_path / "f1.geojson").write_text('{"features": [{"properties": {"n": "1/0", "s": "a"}}, {"properties": {"n": "2/0", "s": "b"}}]}')
+    (tmp_path / "f2.geojson").write_text('{"features": [{"properties": {"n": "1/0", "s": "c"}}]}')
+    found = reader.read_features(spark, [str(tmp_path / f"f{i}.geojson") for i in (1, 2)], "n", {"s": "string"})
+    assert sorted(map(tuple, found.collect())) == [("1/0", "c"), ("2/0", "b")]
+    docs = spark.createDataFrame([('[{"key": "a", "value": "1"}]',), ('"[{\\"key\\": \\"a\\", \\"value\\": \\"2\\"}]"',), ("no",)], "d string")
+    assert [r[0] for r in docs.select(reader.key_values(F.col("d"))).collect()] == [{"a": "1"}, {"a": "2"}, {}]
 
 
 def test_unknown_source_is_an_error(spark):
