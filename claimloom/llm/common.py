@@ -2,46 +2,21 @@
 
 from __future__ import annotations
 
-import atexit
-import tempfile
-import uuid
-
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from claimloom.sources.files import materialise, table
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share; only where none is set (tests), a local one."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = tempfile.mkdtemp(prefix="claimloom-")
-        spark.conf.set("spark.checkpoint.dir", base)
-    return base
-
-
-def materialise(df: DataFrame) -> DataFrame:
-    """Writes df to the shared folder and reads it again, which cuts its lineage.
-
-    A lost executor can then cost no more than the stage that is running. The files go when the driver's process ends.
-    """
-    spark = df.sparkSession
-    path = f"{shared_dir(spark).rstrip('/')}/claimloom-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    atexit.register(_remove, spark, path)
-    return spark.read.schema(df.schema).parquet(path)
+__all__ = ["components", "fraction_bucket", "materialise", "private", "ranked", "table"]
 
 
-def _remove(spark: SparkSession, path: str) -> None:
-    try:
-        jvm = spark.sparkContext._jvm
-        where = jvm.org.apache.hadoop.fs.Path(path)
-        where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
-    except Exception:  # noqa: BLE001  the session has ended before: the folder's owner clears it
-        pass
+def private(columns: list[str], name: str) -> str:
+    """A column name that none of columns has (in any case of letters)."""
+    taken = {c.lower() for c in columns}
+    name = f"__{name}"
+    while name in taken:
+        name = f"_{name}"
+    return name
 
 
 def fraction_bucket(digest, n: int):
@@ -54,18 +29,20 @@ def ranked(df: DataFrame, group: list[str], bucket: str, order: list, out: str =
 
     No task needs a whole group: rows are numbered inside (group, bucket), and the bucket's first number is the sum
     of the counts before it. The caller makes buckets fine enough; their values must rise with the order. Group columns
-    must not be null.
+    must not be null. Rows that are equal in bucket and order get numbers of their own, in no order that is fixed.
     """
     cell = [*group, bucket]
-    counts = df.groupBy(*cell).agg(F.count(F.lit(1)).alias("_n"))
+    n, top, low, total, base, start, row = (private(df.columns, x) for x in ("n", "top", "low", "sum", "base", "start", "row"))
+    counts = df.groupBy(*cell).agg(F.count(F.lit(1)).alias(n))
     coarse = F.floor(F.col(bucket) / 4096)
     # sums over at most 4096 buckets at a time, then over those sums
-    tops = counts.groupBy(*group, coarse.alias("_top")).agg(F.sum("_n").alias("_sum"))
-    tops = tops.withColumn("_base", F.coalesce(F.sum("_sum").over(_within(group).orderBy("_top").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    counts = counts.withColumn("_top", coarse).withColumn("_low", F.coalesce(F.sum("_n").over(Window.partitionBy(*group, "_top").orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    starts = counts.join(tops.drop("_sum"), [*group, "_top"]).select(*cell, (F.col("_low") + F.col("_base")).alias("_start"))
-    numbered = df.withColumn("_row", F.row_number().over(Window.partitionBy(*cell).orderBy(*order)))
-    return numbered.join(starts, cell).withColumn(out, (F.col("_start") + F.col("_row") - 1).cast("long")).drop("_start", "_row")
+    tops = counts.groupBy(*group, coarse.alias(top)).agg(F.sum(n).alias(total))
+    tops = tops.withColumn(base, F.coalesce(F.sum(total).over(_within(group).orderBy(top).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    before = F.sum(n).over(Window.partitionBy(*group, top).orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1))
+    counts = counts.withColumn(top, coarse).withColumn(low, F.coalesce(before, F.lit(0)))
+    starts = counts.join(tops.drop(total), [*group, top]).select(*cell, (F.col(low) + F.col(base)).alias(start))
+    numbered = df.withColumn(row, F.row_number().over(Window.partitionBy(*cell).orderBy(*order)))
+    return numbered.join(starts, cell).withColumn(out, (F.col(start) + F.col(row) - 1).cast("long")).drop(start, row)
 
 
 def _within(group: list[str]):
