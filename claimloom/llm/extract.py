@@ -13,7 +13,7 @@ import random
 import re
 import zlib
 from collections.abc import Iterator
-from html.parser import HTMLParser
+from html import unescape
 
 import numpy as np
 import pyarrow as pa
@@ -33,100 +33,173 @@ VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "met
 SELF_ENDING = {"p": {"p"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 #: Elements that end an open paragraph.
 ENDS_P = {"address", "article", "aside", "blockquote", "div", "dl", "footer", "form", "h1", "h2", "h3", "h4", "h5", "h6", "header", "hr", "main", "nav", "ol", "p", "pre", "section", "table", "ul"}
+#: Elements whose content is text up to their own end tag; all of them are silent.
+RAW = {"script", "style", "title", "textarea", "iframe"}
 _SPACE = re.compile(r"\s+")
+#: The start of a tag, a comment or another declaration.
+_TOKEN = re.compile(r"<(?:(/?)([a-zA-Z][^\s/>]*)|(!--)|[!?/])")
+_ATTRIBUTE = re.compile(r"""[\s/]*(?:(>)|([^\s/>][^\s/>=]*)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"'][^\s>]*))?)?)""")
 
 
-class Leaves(HTMLParser):
-    """Text blocks of a page: (text, path, characters in links)."""
+@functools.lru_cache(100_000)
+def _slot(word: str, size: int) -> tuple[int, float]:
+    h = zlib.crc32(word.encode("utf-8", "surrogatepass"))
+    return h % size, 1.0 if h >> 16 & 1 else -1.0
+
+
+_MARK, _DIGIT = re.compile(r"[a-z]+"), re.compile(r"\d")
+
+
+@functools.lru_cache(20_000)
+def _marks(tag: str, marks: str) -> np.ndarray:
+    """A tag and its classes, ids and roles, hashed."""
+    out = np.zeros(PATH, np.float32)
+    for name in (tag, *(f".{m}" for m in _MARK.findall(marks.lower()))):
+        at, sign = _slot(name, PATH)
+        out[at] += sign
+    return out
+
+
+class Node:
+    """An open block element: its own hashed marks and the sum of those from the root down, so that a block's path costs the same at any depth."""
+
+    __slots__ = ("own", "total", "above", "depth")
+
+    def __init__(self, tag: str, marks: str, above: "Node | None"):
+        self.own = _marks(tag, marks)
+        self.total = self.own if above is None else above.total + self.own
+        self.above, self.depth = above, 1 if above is None else above.depth + 1
+
+
+Block = tuple[str, Node | None, int]
+
+
+class Leaves:
+    """Text blocks of a page: (text, innermost block element, characters in links), read as browsers read it: unclosed comments, tags and scripts run to the end of the page. Each character is read a fixed
+    number of times, and each tag is dealt with in constant time, but for the elements that it closes."""
 
     def __init__(self):
-        super().__init__(convert_charrefs=True)
-        self.stack: list[tuple[str, str]] = []
-        self.blocks: list[tuple[str, list[tuple[str, str]], int]] = []
+        self.stack: list[tuple[str, Node | None]] = []
+        self.open: dict[str, int] = {}
+        self.outer: list[int] = []  # places of the block elements in the stack
+        self.blocks: list[Block] = []
         self.text: list[str] = []
         self.linked = self.silent = self.links = 0
 
+    def read(self, html: str) -> list[Block]:
+        at = 0
+        while m := _TOKEN.search(html, at):
+            self.data(html[at : m.start()])
+            close, name, comment = m.group(1, 2, 3)
+            if name:
+                found = self._attributes(html, m.end()) if not close else (html.find(">", m.end()) + 1, "")
+                if not found[0]:
+                    break
+                at, tag = found[0], name.lower()
+                if close:
+                    self.end(tag)
+                else:
+                    self.start(tag, found[1])
+                    if tag in RAW:  # its content is no mark-up
+                        end = re.compile(f"</{tag}(?=[\\s/>])", re.I).search(html, at)
+                        if not end:
+                            at = len(html)
+                            break
+                        at = end.start()
+            else:
+                end = html.find("-->" if comment else ">", m.end() - 2 if comment else m.end())
+                if end < 0:
+                    break
+                at = end + (3 if comment else 1)
+        else:
+            self.data(html[at:])
+        self.flush()
+        return self.blocks
+
+    def _attributes(self, html: str, at: int) -> tuple[int, str]:
+        """(end of the start tag, its class, id and role); 0: it doesn't end."""
+        marks = []
+        while m := _ATTRIBUTE.match(html, at):
+            at = m.end()
+            if m.group(1):
+                return at, " ".join(marks)
+            if m.group(2).lower() in ("class", "id", "role"):
+                marks.append(unescape(m.group(3) or m.group(4) or m.group(5) or ""))
+        return 0, ""
+
     def flush(self) -> None:
         text = _SPACE.sub(" ", "".join(self.text)).strip()
         if text:
-            self.blocks.append((text, [x for x in self.stack if x[0] not in INLINE], self.linked))
+            self.blocks.append((text, self.stack[self.outer[-1]][1] if self.outer else None, self.linked))
         self.text, self.linked = [], 0
 
     def _pop(self, at: int) -> None:
         for tag, _ in self.stack[at:]:
             self.silent -= tag in SILENT
             self.links -= tag == "a"
+            self.open[tag] -= 1
         del self.stack[at:]
+        while self.outer and self.outer[-1] >= at:
+            self.outer.pop()
 
-    def handle_starttag(self, tag, attrs):
+    def start(self, tag: str, marks: str) -> None:
         if tag == "br":
             self.text.append(" ")
         if tag not in INLINE:
             self.flush()
             ends = SELF_ENDING.get(tag, set()) | ({"p"} if tag in ENDS_P else set())
-            for at in range(len(self.stack) - 1, -1, -1):
+            for at in reversed(self.outer[-8:]):
                 open_ = self.stack[at][0]
                 if open_ in ends:
                     self._pop(at)
                     break
-                if open_ not in INLINE and open_ != "p":
+                if open_ != "p":
                     break
         if tag not in VOID:
-            marks = " ".join(str(v or "") for k, v in attrs if k in ("class", "id", "role"))
-            self.stack.append((tag, marks))
+            node = None
+            if tag not in INLINE:
+                node = Node(tag, marks, self.stack[self.outer[-1]][1] if self.outer else None)
+                self.outer.append(len(self.stack))
+            self.stack.append((tag, node))
+            self.open[tag] = self.open.get(tag, 0) + 1
             self.silent += tag in SILENT
             self.links += tag == "a"
 
-    def handle_endtag(self, tag):
+    def end(self, tag: str) -> None:
         if tag not in INLINE:
             self.flush()
-        for at in range(len(self.stack) - 1, -1, -1):
-            if self.stack[at][0] == tag:
-                self._pop(at)
-                return
+        if self.open.get(tag):
+            at = len(self.stack) - 1
+            while self.stack[at][0] != tag:
+                at -= 1
+            self._pop(at)
 
-    def handle_data(self, data):
-        if not self.silent:
-            self.text.append(data)
-            self.linked += len(data.strip()) if self.links else 0
+    def data(self, text: str) -> None:
+        if text and not self.silent:
+            text = unescape(text) if "&" in text else text
+            self.text.append(text)
+            self.linked += len(text.strip()) if self.links else 0
 
 
-def leaves(html: str | None) -> list[tuple[str, list[tuple[str, str]], int]]:
-    parser = Leaves()
-    parser.feed(html or "")
-    parser.close()
-    parser.flush()
-    return parser.blocks
-
-
-@functools.lru_cache(100_000)
-def _slot(word: str, size: int) -> tuple[int, float]:
-    h = zlib.crc32(word.encode("utf-8", "surrogatepass"))
-    return h % size, 1.0 if h >> 16 & 1 else -1.0
-
-
-_MARK, _DIGIT = re.compile(r"[a-z]+"), re.compile(r"\d")
-
-
-@functools.lru_cache(20_000)
-def _path(path: tuple[tuple[str, str], ...]) -> np.ndarray:
-    out = np.zeros(PATH, np.float32)
-    for depth, (tag, marks) in enumerate(reversed(path)):
-        for name in (tag, *(f".{m}" for m in _MARK.findall(marks.lower()))):
-            at, sign = _slot(name, PATH)
-            out[at] += sign * (1.0 if depth < 3 else 0.7)
-    return out
+def leaves(html: str | None) -> list[Block]:
+    return Leaves().read(html or "")
 
 
-def vector(block: tuple[str, list[tuple[str, str]], int], first: bool) -> np.ndarray:
-    text, path, linked = block
+def vector(block: Block, first: bool) -> np.ndarray:
+    text, node, linked = block
     out = np.zeros(WIDTH, np.float32)
-    out[:PATH] = _path(tuple(path))
+    depth = node.depth if node else 0
+    if node:
+        out[:PATH] = 0.7 * node.total
+        for _ in range(3):  # the innermost three count fully
+            if node:
+                out[:PATH] += 0.3 * node.own
+                node = node.above
     words = text.lower().split()
     at, sign = zip(*[_slot(w, WORDS) for w in words])
     out[PATH : PATH + WORDS] = np.bincount(at, sign, WORDS) / len(words)
     n = len(text)
-    out[PATH + WORDS :] = [np.log1p(n) / 5, np.log1p(len(words)) / 4, linked / n, sum(map(text.count, ".!?")) / len(words), len(_DIGIT.findall(text)) / n, "©" in text, first, len(path) / 8]
+    out[PATH + WORDS :] = [np.log1p(n) / 5, np.log1p(len(words)) / 4, linked / n, sum(map(text.count, ".!?")) / len(words), len(_DIGIT.findall(text)) / n, "©" in text, first, min(depth, 64) / 8]
     return out
 
 
@@ -137,8 +210,8 @@ def _sigmoid(x):
     return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
 
 
-def _cell(x: np.ndarray, w: np.ndarray, u: np.ndarray, b: np.ndarray):
-    """One direction of the LSTM over x (time, batch, width); all that the gradient needs."""
+def _cell(x: np.ndarray, w: np.ndarray, u: np.ndarray, b: np.ndarray, keep: bool = False):
+    """One direction of the LSTM over x (time, batch, width); to keep: what the gradient needs."""
     steps, rows = x.shape[:2]
     n = u.shape[0]
     h, c = np.zeros((rows, n), np.float32), np.zeros((rows, n), np.float32)
@@ -150,7 +223,8 @@ def _cell(x: np.ndarray, w: np.ndarray, u: np.ndarray, b: np.ndarray):
         i, f, o, a = g[:, :n], g[:, n : 2 * n], g[:, 2 * n :], np.tanh(z[:, 3 * n :])
         new = f * c + i * a
         th = np.tanh(new)
-        kept.append((i, f, o, a, c, th, h))
+        if keep:
+            kept.append((i, f, o, a, c, th, h))
         c, h = new, o * th
         out[t] = h
     return out, kept
@@ -184,16 +258,16 @@ class Labeller:
         """For x (time, batch, width); sequences of one length only."""
         return self._forward(x)[0]
 
-    def _forward(self, x):
+    def _forward(self, x, keep: bool = False):
         w = self.weights
-        one, kept1 = _cell(x, *w[:3])
-        two, kept2 = _cell(x[::-1], *w[3:6])
+        one, kept1 = _cell(x, *w[:3], keep)
+        two, kept2 = _cell(x[::-1], *w[3:6], keep)
         both = np.concatenate((one, two[::-1]), 2)
         return (both @ w[6] + w[7])[..., 0], both, kept1, kept2
 
     def gradient(self, x, y, mask):
         w = self.weights
-        logit, both, kept1, kept2 = self._forward(x)
+        logit, both, kept1, kept2 = self._forward(x, keep=True)
         d = ((_sigmoid(logit) - y) * mask / mask.sum())[..., None].astype(np.float32)
         dboth = d @ w[6].T
         first = _cell_back(x, w[0], w[1], kept1, dboth[..., :HIDDEN])
@@ -259,7 +333,7 @@ def made_page(draw: random.Random) -> tuple[str, list[bool]]:
         "advert": lambda: boxed("ad ads advert advertisement banner sponsored promo", ["div", "aside", "section"]),
         "notice": lambda: boxed("cookie consent notice banner newsletter popup alert gdpr subscribe", ["div", "section", "p"]),
         "side": lambda: boxed("sidebar related widget side share social recommended", ["aside", "aside", "div"]),
-        "form": lambda: f"<form{marked('search login signup form')}>" + block("label" if False else "p", line(1, 4), False) + "<input name=q></form>",
+        "form": lambda: f"<form{marked('search login signup form')}>" + block(draw.choice(["p", "div", "p"]), line(1, 4), False) + draw.choice(["<input name=q>", "<input type=text><br>", ""]) + "</form>",
         "comment": lambda: boxed("comments comment replies discussion respond", ["section", "div"], 1, 4),
         "header": lambda: boxed("header masthead site-header top logo", ["header", "header", "div"], 1, 2),
     }
@@ -289,8 +363,11 @@ def made_page(draw: random.Random) -> tuple[str, list[bool]]:
     after = [extras[k]() for k in ("side", "comment", "form", "advert", "menu") if draw.random() < 0.3]
     if draw.random() < 0.9:
         labels.append(False)
-        after.append(f"<{(k := draw.choice(['footer', 'footer', 'div class=footer']))}>{draw.choice(['&copy; ', '', '© 2020 '])}{word()}.example.com &middot; {line(2, 16)}</{k.split()[0]}>")
-    head = f"<head><title>{line(2, 6)}</title><style>p{{}}</style><script>var a='</p>';</script></head>"
+        after.append(f"<{(k := draw.choice(['footer', 'footer', 'div class=footer']))}>{draw.choice(['&copy; ', '', f'© {draw.randint(1990, 2030)} ', '&#169; '])}{draw.choice([word(), word() + '.example', word() + '.example.com'])}{draw.choice([' &middot; ', ' | ', ' - ', ' '])}{line(2, 16)}</{k.split()[0]}>")
+    script = draw.choice([f"var {word()} = 1 < 2;", f"if ({word()} && !0) document.write('<div>');", f"/* {word()} */", f"x = '</p>{word()}';", ""])
+    style = draw.choice([f".{word()} {{ margin: {draw.randint(0, 9)}px }}", "p{}", f"@media print {{ #{word()} {{ display: none }} }}"])
+    parts = [f"<title>{line(2, 6)}</title>", f"<style>{style}</style>", f"<script>{script}</script>", f'<meta name="{word()}" content="{word()}">']
+    head = f"<head>{''.join(draw.sample(parts, draw.randint(1, 4)))}</head>"
     return f"<!DOCTYPE html><html>{head}<body>{''.join(before)}{body}{''.join(after)}{draw.choice(['</body></html>', ''])}", labels
 
 
@@ -333,7 +410,8 @@ def main_text(html: str | None, model: Labeller) -> str:
 
 
 def extracted(pages: DataFrame, model: Labeller | None = None) -> DataFrame:
-    """page_id, url, text, n_chars of every row; null html counts as empty, and pages without main text have an empty one."""
+    """page_id, url, text, n_chars of every row, repeated rows too; null html counts as empty, and pages without main text have an empty one. Other columns play no part. Broken, deeply nested and very
+    long pages take time and memory in proportion to their length."""
     weights = (model or trained()).weights
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
