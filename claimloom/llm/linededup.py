@@ -7,9 +7,10 @@ State of an index:
 * filters (shard, n, payload): cuckoo filters over the hot keys only, those found in at least min_docs documents. A key
   that becomes hot is inserted into its shard, one that stops being hot is deleted from it.
 
-A document's line is dropped if its key is hot. The filters answer that on the spot, without a shuffle of lines
-or texts: a miss is certain, and the few keys of the index that a filter takes for hot by mistake are listed exactly
-beside it. Filters go to the executors only up to a checked size; beyond it the same decision is a join with the counts.
+A document's line is dropped if its key is hot. The filters answer that: a miss is certain, and the few keys of the index that a filter takes for hot by mistake are listed exactly
+beside it. Up to a checked size, all filters go to every executor, and neither lines nor texts are shuffled; beyond it, the keys of the lines go to their filters instead, shard by shard.
+
+Null and empty texts are one empty line, which has no key and stays. Every row counts as a document, repeated rows too.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimloom.llm.common import materialise, table
+from claimloom.llm.common import materialise, private, table
 
 #: Bytes that a line's key loses at both ends; exactly what bytes.strip() takes.
 SPACE = b" \t\n\x0b\x0c\r"
@@ -174,29 +175,35 @@ class LineIndex:
         return self._changed(line_counts(docs, self.min_chars))
 
     def delete(self, docs: DataFrame) -> LineIndex:
-        """Takes out documents that were inserted before, given with the same texts."""
+        """Takes out documents that were inserted before, given with the same texts; it is an error if the index doesn't hold all their lines."""
         return self._changed(line_counts(docs, self.min_chars).withColumn("n", -F.col("n")))
 
     def _changed(self, by: DataFrame) -> LineIndex:
         both = self.counts.withColumn("was", F.col("n")).unionByName(by.withColumn("was", F.lit(0).cast("long")))
         now = materialise(both.groupBy("k1", "k2").agg(F.sum("n").alias("n"), F.sum("was").alias("was")))
+        if not now.where("n < 0").isEmpty():
+            raise ValueError("documents are deleted that the index doesn't hold")
+        counts, hot = now.where("n > 0").drop("was"), now.where(F.col("n") >= self.min_docs)
+        many = hot.count()
+        if many > 2 * self.shards * SHARD_KEYS:  # the filters would grow without end: more of them
+            shards = -(-many // SHARD_KEYS)
+            return LineIndex(counts, _filters(hot, shards), shards, self.min_docs, self.min_chars)
         crossed = now.where((F.col("n") >= self.min_docs) != (F.col("was") >= self.min_docs))
         filters = materialise(_updated(self.filters, crossed.withColumn("put", F.col("n") >= self.min_docs), self.shards))
         full = filters.where("payload is null").select("shard")
         if not full.isEmpty():  # these are built anew, larger, from the exact counts
-            hot = now.where(F.col("n") >= self.min_docs).withColumn("shard", _shard_of(self.shards)).join(full, "shard", "left_semi")
+            hot = hot.withColumn("shard", _shard_of(self.shards)).join(full, "shard", "left_semi")
             filters = materialise(filters.where("payload is not null").unionByName(_filters(hot, self.shards)))
-        return LineIndex(now.where("n > 0").drop("was"), filters, self.shards, self.min_docs, self.min_chars)
+        return LineIndex(counts, filters, self.shards, self.min_docs, self.min_chars)
 
-    def apply(self, docs: DataFrame, send_bytes: int = SEND_BYTES) -> DataFrame:
-        """docs (rows that the index holds) with text cut to the lines that stay, and n_lines, n_dropped; null and empty
-        texts are one empty line, which has no key and stays. Other columns stay as they are."""
+    def apply(self, docs: DataFrame, send_bytes: int = SEND_BYTES, out: tuple[str, str] = ("n_lines", "n_dropped")) -> DataFrame:
+        """docs (rows that the index holds) with text cut to the lines that stay, and the numbers of lines before and of dropped ones in the columns out, which replace
+        columns of these names. Other columns stay as they are. send_bytes: filters of more bytes than that aren't sent to all executors."""
         size = self.filters.agg(F.sum(F.length("payload"))).first()[0] or 0
         if size > send_bytes:
-            return self.joined(docs)
+            return self.sharded(docs, out)
         payloads = {r["shard"]: r["payload"] for r in self.filters.collect()}
-        wrong = self.mistaken(payloads)
-        return _cut(docs, _by_filters(payloads, wrong, self.shards), self.min_chars)
+        return _cut(docs, _by_filters(payloads, self.mistaken(payloads), self.shards), self.min_chars, out)
 
     def mistaken(self, payloads: dict[int, bytes]) -> set[tuple[int, int]]:
         """Keys of the index that a filter takes for hot though they aren't: about one in 500 million of its keys."""
@@ -211,26 +218,69 @@ class LineIndex:
         cold = self.counts.where(F.col("n") < self.min_docs).select("k1", "k2")
         return {(r[0], r[1]) for r in cold.mapInArrow(run, cold.schema).collect()}
 
-    def joined(self, docs: DataFrame) -> DataFrame:
-        """The same decision as a join with the exact counts, for filters too large to send: only lines' keys and document keys are shuffled
-        up to the last join, which gives each document its hot keys."""
-        who = docs.withColumn("_doc", F.sha2(F.coalesce(F.col("text"), F.lit("")), 256))
-        chars = self.min_chars
+    def sharded(self, docs: DataFrame, out: tuple[str, str] = ("n_lines", "n_dropped"), salts: int = 32) -> DataFrame:
+        """The same decision by the same filters, each held by the task that the keys of its lines come to. A filter has salts copies, so that one very frequent line spreads.
+
+        Texts are told apart by 128 bits of hash; equal ones share their decision."""
+        keys = text_keys(docs, self.min_chars).withColumns({"shard": _shard_of(self.shards), "salt": F.pmod("d1", F.lit(salts)).cast("int")})
+        filters = self.filters.select("shard", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt"), "payload")
+        cold = self.counts.where(F.col("n") < self.min_docs).select(F.lit(0).cast("long").alias("d1"), F.lit(0).cast("long").alias("d2"), "k1", "k2", _shard_of(self.shards), F.pmod("k2", F.lit(salts)).cast("int").alias("salt"), F.lit(True).alias("cold"))
+        rows = filters.unionByName(keys.withColumn("cold", F.lit(False)).unionByName(cold), allowMissingColumns=True).withColumn("at", F.col("payload").isNull())
+        rows = rows.repartition(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), "shard", "salt").sortWithinPartitions("shard", "salt", "at")
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            at, now = None, None
             for batch in batches:
-                docs_, seen = [], []
-                for doc, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                    keys = {k for k in line_keys(text.as_py(), chars)[1] if k is not None}
-                    docs_ += [doc] * len(keys)
-                    seen += keys
-                k1, k2 = _hashed(seen)
-                yield pa.RecordBatch.from_arrays([pa.array(docs_, pa.string()), pa.array(k1), pa.array(k2)], names=["_doc", "k1", "k2"])
+                shard, salt, filters_ = (batch.column(k).to_numpy(zero_copy_only=False) for k in (0, 1, 2))
+                cut = [0, *(np.flatnonzero((shard[1:] != shard[:-1]) | (salt[1:] != salt[:-1]) | ~filters_[:-1]) + 1).tolist(), len(shard)]
+                for lo, hi in zip(cut, cut[1:]):
+                    if hi > lo and (where := (shard[lo], salt[lo])) != at:
+                        at, now = where, None
+                    if hi > lo and not filters_[lo]:
+                        now = CuckooFilter.loads(batch.column(8)[lo].as_py())
+                    elif hi > lo and now is not None:
+                        part = batch.slice(lo, hi - lo)
+                        k1, k2 = (np.ascontiguousarray(part.column(k).to_numpy(zero_copy_only=False)) for k in (5, 6))
+                        yield part.select(["d1", "d2", "k1", "k2", "cold"]).filter(pa.array(now.contains(k1, k2)))
+
+        hits = materialise(rows.select("shard", "salt", "at", "d1", "d2", "k1", "k2", "cold", "payload").mapInArrow(run, "d1 long, d2 long, k1 long, k2 long, cold boolean"))
+        wrong = hits.where("cold").select("k1", "k2").distinct()
+        each = hits.where("not cold").join(wrong, ["k1", "k2"], "left_anti").groupBy("d1", "d2").agg(F.collect_set(F.struct("k1", "k2")).alias("hot"))
+        names = docs.columns
+        d1, d2, hot = (private(names, n) for n in ("d1", "d2", "hot"))
+        each = each.select(F.col("d1").alias(d1), F.col("d2").alias(d2), F.col("hot").alias(hot))
+        return _cut(_with_text_hash(docs, d1, d2).join(each, [d1, d2], "left").drop(d1, d2), None, self.min_chars, out, hot)
+
+
+def text_keys(docs: DataFrame, min_chars: int) -> DataFrame:
+    """(d1, d2, k1, k2): the hash of each text with each key of its lines."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for at in range(0, whole.num_rows, 1000):
+                batch = whole.slice(at, 1000)
+                seen = [list({k for k in line_keys(t.as_py(), min_chars)[1] if k is not None}) for t in batch.column(0)]
+                n = list(map(len, seen))
+                d = [np.repeat(x, n) for x in _text_hashes(batch.column(0))]
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (*d, *_hashed([k for keys in seen for k in keys]))], names=["d1", "d2", "k1", "k2"])
+
+    return docs.select("text").mapInArrow(run, "d1 long, d2 long, k1 long, k2 long").distinct()
+
+
+def _text_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    return _hashed([(t.as_py() or "").encode("utf-8", "surrogatepass") for t in texts])
+
+
+def _with_text_hash(docs: DataFrame, d1: str, d2: str) -> DataFrame:
+    """docs with the hash of the text in the columns d1 and d2."""
+    names = docs.columns
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = _text_hashes(batch.column(batch.schema.get_field_index("text")))
+            yield pa.RecordBatch.from_arrays([*batch.columns, *map(pa.array, found)], names=[*names, d1, d2])
 
-        lines = who.select("_doc", "text").mapInArrow(run, "_doc string, k1 long, k2 long").distinct()
-        hot = lines.join(self.counts.where(F.col("n") >= self.min_docs).select("k1", "k2"), ["k1", "k2"])
-        each = hot.groupBy("_doc").agg(F.collect_list(F.struct("k1", "k2")).alias("_hot"))
-        return _cut(who.join(each, "_doc", "left").drop("_doc"), None, self.min_chars)
+    return docs.mapInArrow(run, ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields), f"`{d1}` long", f"`{d2}` long"]))
 
 
 class _Probe:
@@ -265,29 +315,25 @@ def _by_filters(payloads: dict[int, bytes], wrong: set[tuple[int, int]], shards:
     return made
 
 
-def _cut(docs: DataFrame, made, min_chars: int) -> DataFrame:
-    """Drops hot lines; made() gives the test of keys, or each row brings its hot keys in column _hot."""
-    given = made is None
-    plain = [f for f in docs.schema.fields if f.name not in ("_hot", "n_lines", "n_dropped")]
+def _cut(docs: DataFrame, made, min_chars: int, out: tuple[str, str], given: str | None = None) -> DataFrame:
+    """Drops hot lines; made() gives the test of keys, or each row brings its hot keys in the column given."""
+    plain = [f for f in docs.schema.fields if f.name != given and f.name.lower() not in {n.lower() for n in out}]
     names = [f.name for f in plain]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hot = None if given else made()
+        hot = made() if made else None
         for whole in batches:
             for at in range(0, whole.num_rows, 500):
                 batch = whole.slice(at, 500)
                 texts = [x.as_py() for x in batch.column(batch.schema.get_field_index("text"))]
                 split = [line_keys(t, min_chars) for t in texts]
-                flat = [k for _, keys in split for k in keys if k is not None]
-                k1, k2 = _hashed(flat)
+                k1, k2 = _hashed([k for _, keys in split for k in keys if k is not None])
                 if given:
-                    sets = batch.column(batch.schema.get_field_index("_hot")).to_pylist()
+                    sets = [{(h["k1"], h["k2"]) for h in s or ()} for s in batch.column(batch.schema.get_field_index(given)).to_pylist()]
                     owner = [i for i, (_, keys) in enumerate(split) for k in keys if k is not None]
-                    pairs = [{(h["k1"], h["k2"]) for h in s or ()} for s in sets]
-                    drop = [(a, b) in pairs[i] for a, b, i in zip(k1.tolist(), k2.tolist(), owner)]
+                    drop = iter([(a, b) in sets[i] for a, b, i in zip(k1.tolist(), k2.tolist(), owner)])
                 else:
-                    drop = hot(k1, k2).tolist()
-                drop = iter(drop)
+                    drop = iter(hot(k1, k2).tolist())
                 kept, n, gone = [], [], []
                 for text, (lines, keys) in zip(texts, split):
                     stay = [x for x, k in zip(lines, keys) if k is None or not next(drop)]
@@ -295,10 +341,10 @@ def _cut(docs: DataFrame, made, min_chars: int) -> DataFrame:
                     gone.append(len(lines) - len(stay))
                     kept.append(text if len(stay) == len(lines) else b"\n".join(stay).decode("utf-8", "surrogatepass"))
                 columns = [pa.array(kept, pa.string()) if c == "text" else batch.column(batch.schema.get_field_index(c)) for c in names]
-                yield pa.RecordBatch.from_arrays([*columns, pa.array(n, pa.int64()), pa.array(gone, pa.int64())], names=[*names, "n_lines", "n_dropped"])
+                yield pa.RecordBatch.from_arrays([*columns, pa.array(n, pa.int64()), pa.array(gone, pa.int64())], names=[*names, *out])
 
-    ddl = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in plain), "n_lines long", "n_dropped long"])
-    return docs.select(*names, *(["_hot"] if given else [])).mapInArrow(run, ddl)
+    ddl = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in plain), *(f"`{n}` long" for n in out)])
+    return docs.select(*names, *([given] if given else [])).mapInArrow(run, ddl)
 
 
 def _shard_of(shards: int):
