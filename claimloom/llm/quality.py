@@ -4,15 +4,15 @@ Each pair of a labelled good and a labelled bad document is a contest that the g
 beats j is sigmoid(s(i) - s(j)); w minimises the logistic loss on feature differences. The features are shares and rates of a whole
 text, so that they don't grow with its length; no label, language, source or id is among them.
 
-The scores rank documents; the cut is the quantile of the training scores at the share of bad labels. A score in 0..1 is
-the logistic curve around that cut.
+The scores rank documents; the cut is the quantile of the training scores at the share of bad labels, and so part of the fit on at most MAX_TRAIN labelled documents. A score in 0..1 is
+the logistic curve around that cut. Without labels of both kinds, every score is 1 (none, or only good ones) or 0.
 """
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
-from operator import eq
 
 import numpy as np
 import pyarrow as pa
@@ -25,14 +25,11 @@ from claimloom.llm.common import materialise, table
 MAX_TRAIN, CONTESTS, SEED = 20_000, 24, 11
 
 FEATURES = (
-    "upper", "letters", "digits", "symbols", "bangs", "pipes", "high", "spaces", "newlines",
-    "distinct_words", "repeated_next", "word_length", "short_words", "log_words", "distinct_lines", "line_length", "symbol_tail", "shouted_words",
+    "upper", "letters", "digits", "high", "spaces", "newlines", "distinct_words", "repeated_next", "distinct_pairs", "word_length", "short_words", "log_words", "distinct_lines", "line_length",
 )
 
 _UPPER, _LOWER, _DIGIT = np.zeros(256, bool), np.zeros(256, bool), np.zeros(256, bool)
 _UPPER[65:91], _LOWER[97:123], _DIGIT[48:58] = True, True, True
-_SYMBOL = np.zeros(256, bool)
-_SYMBOL[[b for b in b"#$%&*+/<=>@[\\]^_`{|}~"]] = True
 
 
 def features(text: str | None) -> np.ndarray:
@@ -42,13 +39,11 @@ def features(text: str | None) -> np.ndarray:
     n, k = max(1, len(data)), max(1, len(words))
     counts = np.bincount(np.frombuffer(data, np.uint8), minlength=256)
     upper, lower = counts[_UPPER].sum(), counts[_LOWER].sum()
-    distinct = len(set(words))
-    tails = sum(w[-1] in b"#$%&*|!" for w in words)
+    hashed = np.fromiter(map(zlib.crc32, words), np.uint32, len(words))
     return np.array([
-        upper / max(1, upper + lower), (upper + lower) / n, counts[_DIGIT].sum() / n, counts[_SYMBOL].sum() / n, counts[33] / k, counts[124] / k,
-        counts[128:].sum() / n, counts[32] / n, counts[10] / k,
-        distinct / k ** 0.9, sum(map(eq, words, words[1:])) / k, (n - k) / k / 10, sum(len(w) < 3 for w in words) / k, np.log1p(len(words)) / 8,
-        len(set(lines)) / len(lines), np.log1p(n / len(lines)) / 8, tails / k, sum(map(bytes.isupper, words)) / k,
+        upper / max(1, upper + lower), (upper + lower) / n, counts[_DIGIT].sum() / n, counts[128:].sum() / n, counts[32] / n, counts[10] / k,
+        len(np.unique(hashed)) / k ** 0.9, (hashed[1:] == hashed[:-1]).sum() / k, len(np.unique(hashed[1:].astype(np.uint64) << np.uint64(32) | hashed[:-1])) / k,
+        (n - k) / k / 10, sum(len(w) < 3 for w in words) / k, np.log1p(len(words)) / 8, len(set(lines)) / len(lines), np.log1p(n / len(lines)) / 8,
     ])
 
 
@@ -108,28 +103,33 @@ def fit(x: np.ndarray, good: np.ndarray, ridge: float = 1e-3) -> Ranker:
 
 
 def labelled(docs: DataFrame, labels: DataFrame, bound: int = MAX_TRAIN) -> tuple[np.ndarray, np.ndarray]:
-    """Features and labels of at most bound rows: those with a label whose crc32(doc_id) modulo 3 isn't 1, lowest hash first."""
+    """Features and labels of at most bound documents: those with a label whose crc32(doc_id) modulo 3 isn't 1, lowest hash first.
+
+    Ids with labels that contradict each other, or with others than 0 and 1, teach nothing; repeated labels count once. Of rows with one doc_id, that whose text has the smallest hash counts.
+    """
     usable = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(3)) != 1
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("quality")).where(usable & F.col("quality").isin(0, 1))
-    known = known.groupBy("doc_id").agg(F.min("quality").alias("quality"), F.max("quality").alias("_other")).where("quality = _other").drop("_other")
-    chosen = materialise(known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(bound))
-    rows = featured(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(chosen), "doc_id"), ["doc_id", "quality"])
-    got = sorted((r["doc_id"], r["quality"], tuple(r["x"])) for r in rows.toLocalIterator())[: 2 * bound]
+    known = known.groupBy("doc_id").agg(F.min("quality").alias("quality"), F.max("quality").alias("other")).where("quality = other").drop("other")
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("hash"), "text")
+    there = texts.select("doc_id", "hash").groupBy("doc_id").agg(F.min("hash").alias("hash")).join(known, "doc_id")
+    chosen = materialise(there.orderBy(F.xxhash64("doc_id"), "doc_id").limit(bound))
+    rows = featured(texts.join(F.broadcast(chosen), ["doc_id", "hash"]).dropDuplicates(["doc_id"]), ["doc_id", "quality"])  # at most bound rows are broadcast
+    got = sorted((r["doc_id"], r["quality"], tuple(r["x"])) for r in rows.collect())  # at most bound rows
     return np.array([r[2] for r in got]).reshape(len(got), len(FEATURES)), np.array([r[1] == 1 for r in got], bool)
 
 
-def scored(docs: DataFrame, model: Ranker) -> DataFrame:
-    """All columns of docs and score; columns of that name in docs are replaced."""
-    plain = [f for f in docs.schema.fields if f.name != "score"]
+def scored(docs: DataFrame, model: Ranker, out: str = "score") -> DataFrame:
+    """All columns of docs and the score, in the column out, which replaces one of that name. Every row is scored by its own whole text; null and empty texts too."""
+    plain = [f for f in docs.schema.fields if f.name.lower() != out.lower()]
     names = [f.name for f in plain]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             at = batch.schema.get_field_index("text")
             x = np.array([features(t.as_py()) for t in batch.column(at)]).reshape(batch.num_rows, len(FEATURES))
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(model.score(x))], names=[*names, "score"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(model.score(x))], names=[*names, out])
 
-    return docs.select(*names).mapInArrow(run, ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in plain), "score double"]))
+    return docs.select(*names).mapInArrow(run, ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in plain), f"`{out}` double"]))
 
 
 def train(docs: DataFrame, labels: DataFrame, bound: int = MAX_TRAIN) -> Ranker:
