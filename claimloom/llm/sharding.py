@@ -13,29 +13,32 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimloom.llm.common import fraction_bucket, materialise, ranked, table
+from claimloom.llm.common import fraction_bucket, materialise, private, ranked, table
 
 SHARDS, SEED = 24, 17
 #: Rows of one bucket, the unit that is sorted in one piece.
 BUCKET = 256
 
 
-def interleave(rows: DataFrame, shards: int, stratum: str = "source", key: list[str] | None = None, seed: int = SEED) -> DataFrame:
-    """rows with shard (0 to shards - 1) and slot (from 0 in each shard). key: the columns that tell rows apart for the seeded shuffle."""
+def interleave(rows: DataFrame, shards: int, stratum: str = "source", key: list[str] | None = None, seed: int = SEED, out: tuple[str, str] = ("shard", "slot")) -> DataFrame:
+    """rows with their shard (0 to shards - 1) and slot (from 0 in each shard), in the columns out, which replace columns of these names.
+
+    key: the columns that tell rows apart for the seeded shuffle; rows that are equal there take neighbouring places, in no fixed order. Empty tables give empty ones.
+    """
+    rows = rows.drop(*out)
     names = rows.columns
+    s, h, b, rank, size, place, at, shard = (private(names, n) for n in ("stratum", "mixed", "bucket", "rank", "size", "place", "at", "shard"))
     mixed = F.md5(F.concat_ws("|", F.lit(seed), *(F.coalesce(F.col(c).cast("string"), F.lit("")) for c in key or names)))
-    base = rows.withColumn("_s", F.concat(F.when(F.col(stratum).isNull(), "0").otherwise("1"), F.coalesce(F.col(stratum).cast("string"), F.lit("")))).withColumn("_h", mixed)
-    base = materialise(base)
+    source = F.concat(F.when(F.col(stratum).isNull(), "0").otherwise("1"), F.coalesce(F.col(stratum).cast("string"), F.lit("")))
+    base = materialise(rows.withColumns({s: source, h: mixed}))
     total = base.count()
     buckets = max(1, total // BUCKET)
-    inner = ranked(base.withColumn("_b", fraction_bucket(F.col("_h"), buckets)), ["_s"], "_b", ["_h"], "_rank").drop("_b")
-    sizes = base.groupBy("_s").agg(F.count(F.lit(1)).alias("_size"))
-    placed = inner.join(sizes, "_s").withColumn("_place", (F.col("_rank") + 0.5) / F.col("_size"))
-    placed = placed.withColumn("_b", F.floor(F.col("_place") * buckets).cast("long"))
-    whole = ranked(placed, [], "_b", ["_place", "_h", "_s"], "_at")
-    shard = F.expr(f"_at * {shards} div {max(1, total)}")
-    first = F.expr(f"(_shard * {max(1, total)} + {shards - 1}) div {shards}")
-    return whole.withColumn("_shard", shard).select(*names, F.col("_shard").cast("int").alias("shard"), (F.col("_at") - first).cast("long").alias("slot"))
+    inner = ranked(base.withColumn(b, fraction_bucket(F.col(h), buckets)), [s], b, [h], rank).drop(b)
+    placed = inner.join(base.groupBy(s).agg(F.count(F.lit(1)).alias(size)), s).withColumn(place, (F.col(rank) + 0.5) / F.col(size))
+    whole = ranked(placed.withColumn(b, F.floor(F.col(place) * buckets).cast("long")), [], b, [place, h, s], at)
+    first = F.expr(f"({shard} * {max(1, total)} + {shards - 1}) div {shards}")
+    whole = whole.withColumn(shard, F.expr(f"{at} * {shards} div {max(1, total)}"))
+    return whole.select(*names, F.col(shard).cast("int").alias(out[0]), (F.col(at) - first).cast("long").alias(out[1]))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
