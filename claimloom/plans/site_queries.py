@@ -75,15 +75,29 @@ def _pairs(found: DataFrame) -> DataFrame:
     return materialise(matching.decided(matching.scored(found, matching.candidates(found))))
 
 
+#: Written tables by session, folder and name: the store is made by the first query that needs it, and read by those that follow, as a build's later stages read what its earlier ones wrote.
+_STORE: dict[tuple, object] = {}
+
+
+def _once(spark: SparkSession, sf_dir: str, name: str, make):
+    at = (spark.sparkContext.applicationId, sf_dir, name)
+    if at not in _STORE:
+        _STORE[at] = make()
+    return _STORE[at]
+
+
 def _clustered(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    found = claims(spark, sf_dir)
-    decisions = _pairs(found)
-    groups, refused = matching.clusters(found, decisions)
-    return materialise(found.join(groups, "claim_id")), decisions, refused
+    def make():
+        found = claims(spark, sf_dir)
+        decisions = _pairs(found)
+        groups, refused = matching.clusters(found, decisions)
+        return materialise(found.join(groups, "claim_id")), decisions, materialise(refused)
+
+    return _once(spark, sf_dir, "clusters", make)
 
 
 def _sites(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return materialise(sites.merged_sites(_clustered(spark, sf_dir)[0]))
+    return _once(spark, sf_dir, "sites", lambda: materialise(sites.merged_sites(_clustered(spark, sf_dir)[0])))
 
 
 def near_links(spark, sf_dir):
@@ -198,7 +212,7 @@ def _overlay(spark: SparkSession, sf_dir: str) -> DataFrame:
 def overlaid_sites(spark, sf_dir):
     out = sites.overlaid(_sites(spark, sf_dir), _overlay(spark, sf_dir))
     return out.select(
-        "cluster_id", F.col("statuses")["reg_conservation"].alias("reg_conservation"), F.col("statuses")["protected_area"].alias("protected_area"), F.array_join(F.transform("overlay_notes", lambda n: F.concat(n["designation"], F.lit("@"), F.round(n["distance_m"], 0).cast("int").cast("string"))), ",").alias("notes"),
+        "cluster_id", F.col("statuses")["reg_conservation"].alias("reg_conservation"), F.col("statuses")["protected_area"].alias("protected_area"), F.array_join(F.transform("overlay_notes", lambda n: F.concat(n["designation"], F.lit("@"), F.floor(n["distance_m"]).cast("string"))), ",").alias("notes"),
         F.array_join(F.col("provenance")["protected_area"], ",").alias("protected_by"), F.size(F.filter("log", lambda c: c["record_id"] == "iplan_conservation_point:plan")).alias("added"), "reg_summary", "status_axes_known",
     )
 
@@ -208,7 +222,7 @@ v AS (SELECT a.cluster_id, a.b, a.kind, a.h1, b % 3 = 0 AND b <= last AS cons, b
  abs(y0 - (29.502::DOUBLE + (b % 126) * 0.03::DOUBLE - 0.002::DOUBLE)) * 111195.08 AS d2 FROM a, top),
 w AS (SELECT *, cons AND d0 <= 400 AS k0, cons AND d1 <= CASE WHEN b % 2 = 0 THEN 20 ELSE 40 END AS k1, park AND d2 <= 300 AS k2 FROM v)"""
 _OVERLAID = f"""SELECT u.cluster_id, CASE WHEN u.kind IN ('w', 'x') THEN 'listed' WHEN k1 AND (NOT k0 OR d1 < d0) THEN 'plan_approved' WHEN k0 THEN 'listed' ELSE 'unknown' END AS reg_conservation, CASE WHEN k2 THEN 'national_park' ELSE 'unknown' END AS protected_area,
-concat_ws(',', CASE WHEN k1 AND (NOT k0 OR d1 < d0) THEN 'd1@' || CAST(round(d1) AS INT) WHEN k0 THEN 'd0@' || CAST(round(d0) AS INT) END, CASE WHEN k2 THEN 'd2@' || CAST(round(d2) AS INT) END) AS notes, CASE WHEN k2 THEN 'heritage_official' END AS protected_by,
+concat_ws(',', CASE WHEN k1 AND (NOT k0 OR d1 < d0) THEN 'd1@' || CAST(floor(round(d1, 1)) AS INT) WHEN k0 THEN 'd0@' || CAST(floor(round(d0, 1)) AS INT) END, CASE WHEN k2 THEN 'd2@' || CAST(floor(round(d2, 1)) AS INT) END) AS notes, CASE WHEN k2 THEN 'heritage_official' END AS protected_by,
 CAST(coalesce(k0 OR k1, FALSE)::INT + coalesce(k2, FALSE)::INT AS INT) AS added, CASE WHEN u.kind IN ('m', 'w', 'x') OR k0 OR k1 OR k2 THEN 'registered' ELSE 'unknown' END AS reg_summary,
 CAST(CASE u.kind WHEN 'm' THEN 2 + u.h1 WHEN 't' THEN 0 WHEN 'w' THEN 2 ELSE 1 END + coalesce(k0 OR k1, FALSE)::INT + coalesce(k2, FALSE)::INT AS INT) AS status_axes_known FROM u LEFT JOIN w ON w.cluster_id = u.cluster_id"""
 
@@ -228,7 +242,7 @@ def possible_duplicates(spark, sf_dir):
     return sites.possible_duplicates(sites.duplicate_suspects(s), links).select("i", "j", "metres", "similarity")
 
 
-_BETWEEN = f"""a AS (SELECT u.*, {_AT} AS at, CASE kind WHEN 'm' THEN 0 WHEN 'o' THEN 1 ELSE 3 END AS role, CASE WHEN kind = 'm' THEN CAST(b AS VARCHAR) END AS iaa FROM u WHERE kind IN ('m', 'o', 't')),
+_BETWEEN = f"""a AS (SELECT u.*, {_AT} AS y0, CASE kind WHEN 'm' THEN 0 WHEN 'o' THEN 1 ELSE 3 END AS role, CASE WHEN kind = 'm' THEN CAST(b AS VARCHAR) END AS iaa FROM u WHERE kind IN ('m', 'o', 't')),
 t AS (SELECT x.cluster_id AS i, y.cluster_id AS j, 2 * 6371008.8 * asin(sqrt(pow(sin(radians(y.y0 - x.y0) / 2), 2))) AS d, CASE WHEN x.role = 0 AND y.role = 1 THEN 0.9806 WHEN x.role = 0 AND y.role = 3 THEN 0.9667 ELSE 0.9198 END::DOUBLE AS own,
  x.kind AS kx, x.h1 AS hx, x.h3 AS h3x, y.kind AS ky, x.iaa <> y.iaa AS other FROM a x JOIN a y ON x.b = y.b AND x.cluster_id < y.cluster_id)"""
 # An alias counts on the left side only: of a site that holds claim 3, its name against claim 1; of claim 1 alone, its alias against claim 3.
