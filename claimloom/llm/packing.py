@@ -13,7 +13,9 @@ from __future__ import annotations
 import functools
 import json
 import re
+import sys
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -22,12 +24,14 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimloom.llm.common import fraction_bucket, materialise, ranked, table
+from claimloom.llm.common import fraction_bucket, materialise, private, ranked, table
 
 WINDOW, SEPARATOR = 2048, 1
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
-#: Pieces of text that a worker remembers the ids of.
-REMEMBER = 300_000
+#: Pieces of text that a worker remembers the ids of, and characters of one at most.
+REMEMBER, LONGEST = 300_000, 256
+#: Marks by which a worker knows pieces that it has met before (by hash: a false mark costs room only).
+MET = 1 << 22
 
 # Characters whose classes are the same in any Unicode version; a text with others is left whole to the tokenizer.
 _LETTER = "A-Za-zªµºÀ-ÖØ-öø-ɏ"
@@ -36,11 +40,19 @@ _ODD = re.compile("[^\t\n\r\x0b\x0c\x20-\x7e¡-ɏ]")
 _PIECES = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d| ?[{_LETTER}]+| ?[{_NUMBER}]+| ?[^\\s{_LETTER}{_NUMBER}]+|\\s+(?!\\S)|\\s+")
 
 
+def packed(ids: list[int]) -> bytes:
+    """Ids as little-endian unsigned 32-bit numbers."""
+    out = array("I", ids)
+    if sys.byteorder == "big":
+        out.byteswap()
+    return out.tobytes()
+
+
 class Ids:
     """Ids of texts by a byte-level BPE tokenizer file, as packed little-endian unsigned 32-bit numbers.
 
     Pieces that the tokenizer's own pre-tokeniser would cut are looked up in a bounded memory; only new ones, and whole texts with
-    characters outside the classes above or with a special token, go through the tokenizer.
+    characters outside the classes above, very long pieces or a special token, go through the tokenizer.
     """
 
     def __init__(self, path: str, remember: int = REMEMBER):
@@ -56,47 +68,65 @@ class Ids:
         self.plain = not spec.get("normalizer") and kind.get("type") == "ByteLevel" and not kind.get("add_prefix_space") and kind.get("use_regex", True)
         self.tokenizer = Tokenizer.from_file(path)
         self.remember, self.new, self.old = remember, {}, {}
+        self.met, self.marks = bytearray(MET), 0
 
     def whole(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        return packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
 
     def __call__(self, text: str) -> bytes:
         if not self.plain or _ODD.search(text) or any(s in text for s in self.special):
             return self.whole(text)
-        pieces = _PIECES.findall(text)
-        new = self.new
-        missing = set(pieces).difference(new)
-        if missing:
-            if len(new) + len(missing) > self.remember:  # the memory's older half goes
-                self.old, self.new = new, {}
-                new, missing = self.new, set(pieces)
-            old = self.old
-            ask = []
-            for p in missing:
-                if (ids := old.get(p)) is None:
-                    ask.append(p)
-                else:
-                    new[p] = ids
-            for p, e in zip(ask, self.tokenizer.encode_batch_fast(ask, add_special_tokens=False)):
-                new[p] = np.array(e.ids, "<u4").tobytes()
-        return b"".join(map(new.__getitem__, pieces))
-
-
-@functools.lru_cache(maxsize=2)
-def ids_of(path: str) -> Ids:
+        ids = self._joined(_PIECES.findall(text))
+        return self.whole(text) if ids is None else ids
+
+    def _joined(self, pieces: list[str]) -> bytes | None:
+        """The ids of the pieces one after the other; None if some piece is too long."""
+        got = list(map(self.new.get, pieces))
+        if None in got:
+            missing = {p for p, ids in zip(pieces, got) if ids is None}
+            if max(map(len, missing)) > LONGEST:
+                return None
+            found = self._found(missing)
+            got = [found[p] if ids is None else ids for p, ids in zip(pieces, got)]
+        return b"".join(got)
+
+    def _found(self, missing: set[str]) -> dict[str, bytes]:
+        """The ids of pieces that the memory's newer half lacks. Pieces that were asked for before are remembered; those that are met once, as most are, take no room."""
+        out, ask = {}, []
+        for p in missing:
+            if (ids := self.old.get(p)) is None:
+                ask.append(p)
+            else:
+                out[p] = self.new[p] = ids
+        for p, e in zip(ask, self.tokenizer.encode_batch_fast(ask, add_special_tokens=False)):
+            out[p] = packed(e.ids)
+            at = hash(p) % MET
+            if self.met[at]:
+                self.new[p] = out[p]
+            else:
+                self.met[at], self.marks = 1, self.marks + 1
+        if len(self.new) > self.remember:  # the older half goes
+            self.old, self.new = self.new, {}
+        if self.marks > MET // 2:
+            self.met, self.marks = bytearray(MET), 0
+        return out
+
+
+@functools.lru_cache(maxsize=1)
+def ids_of(path: str, remember: int) -> Ids:
     """One for each tokenizer file and worker process: what it remembers serves the tasks that follow there."""
-    return Ids(path)
+    return Ids(path, remember)
 
 
-def pieces(docs: DataFrame, tokenizer: str = TOKENIZER, window: int = WINDOW, separator: int = SEPARATOR, with_ids: bool = False) -> DataFrame:
+def pieces(docs: DataFrame, tokenizer: str = TOKENIZER, window: int = WINDOW, separator: int = SEPARATOR, with_ids: bool = False, remember: int = REMEMBER) -> DataFrame:
     """(doc_id, start, length, ids_crc32, doc_tokens[, ids]): each document's ids and the separator, cut into pieces of at most window ids; null text: empty.
 
-    tokenizer: a file that is at the same path on every machine.
+    tokenizer: a file that is at the same path on every machine. remember: pieces whose ids a worker holds, twice, some 200 bytes each.
     """
     end = np.array([separator], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids = ids_of(tokenizer)
+        ids = ids_of(tokenizer, remember)
         for whole in batches:
             for at in range(0, whole.num_rows, 256):
                 batch = whole.slice(at, 256)
@@ -112,6 +142,7 @@ def pieces(docs: DataFrame, tokenizer: str = TOKENIZER, window: int = WINDOW, se
                 if with_ids:
                     arrays.append(pa.array([np.frombuffer(x, "<u4").astype(np.int32) for x in columns[5]], pa.list_(pa.int32())))
                 yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "start", "length", "ids_crc32", "doc_tokens", *["ids"] * with_ids])
+            pa.default_memory_pool().release_unused()
 
     kind = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long" + ", ids array<int>" * with_ids
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, kind)
@@ -183,19 +214,20 @@ def _lookup(patterns: list[tuple[dict[int, int], int]]) -> dict[int, np.ndarray]
 
 
 def placed(parts: DataFrame, window: int = WINDOW) -> DataFrame:
-    """parts (with a column length) and their sequence_id and offset: sequences without gaps from 0, offsets without gaps."""
-    parts = materialise(parts)
+    """parts (with a column length) and their sequence_id and offset, which replace columns of these names: sequences without gaps from 0, offsets without gaps."""
+    parts = materialise(parts.drop("sequence_id", "offset"))
     counts = {r["length"]: r["n"] for r in parts.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}  # at most window rows
     lookup = _lookup(plan(counts, window))
-    order = F.md5(F.concat_ws("|", "doc_id", "start", "ids_crc32"))
+    names = parts.columns
+    h, b, at_ = (private(names, n) for n in ("mixed", "bucket", "rank"))
     buckets = max(1, sum(counts.values()) // 256)
-    numbered = ranked(parts.withColumn("_h", order).withColumn("_b", fraction_bucket(F.col("_h"), buckets)), ["length"], "_b", ["_h"], "_rank").drop("_h", "_b")
-    names = [f.name for f in parts.schema.fields]
+    mixed = parts.withColumn(h, F.md5(F.concat_ws("|", "doc_id", "start", "ids_crc32")))
+    numbered = ranked(mixed.withColumn(b, fraction_bucket(F.col(h), buckets)), ["length"], b, [h], at_)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             length = batch.column(batch.schema.get_field_index("length")).to_numpy(zero_copy_only=False)
-            rank = batch.column(batch.schema.get_field_index("_rank")).to_numpy(zero_copy_only=False)
+            rank = batch.column(batch.schema.get_field_index(at_)).to_numpy(zero_copy_only=False)
             sequence, offset = np.empty(len(rank), np.int64), np.empty(len(rank), np.int64)
             for k in np.unique(length).tolist():
                 at, rows = np.flatnonzero(length == k), lookup[k]
@@ -205,12 +237,12 @@ def placed(parts: DataFrame, window: int = WINDOW) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*(batch.column(batch.schema.get_field_index(c)) for c in names), pa.array(sequence), pa.array(offset)], names=[*names, "sequence_id", "offset"])
 
     ddl = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in parts.schema.fields), "sequence_id long", "offset long"])
-    return numbered.select(*names, "_rank").mapInArrow(run, ddl)
+    return numbered.select(*names, at_).mapInArrow(run, ddl)
 
 
-def pack(docs: DataFrame, tokenizer: str = TOKENIZER, window: int = WINDOW, separator: int = SEPARATOR, with_ids: bool = True) -> DataFrame:
+def pack(docs: DataFrame, tokenizer: str = TOKENIZER, window: int = WINDOW, separator: int = SEPARATOR, with_ids: bool = True, remember: int = REMEMBER) -> DataFrame:
     """Every piece of every document with its place, and with its ids. Repeated rows are packed as often as they are there."""
-    return placed(pieces(docs, tokenizer, window, separator, with_ids), window)
+    return placed(pieces(docs, tokenizer, window, separator, with_ids, remember), window)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
