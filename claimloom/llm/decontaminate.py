@@ -3,25 +3,23 @@
 A window is a run of WINDOW words of a benchmark item (an item with fewer is one window). The search for windows
 works like phrase search in a positional index:
 
-1. Document frequencies of all benchmark terms are counted over the whole corpus. A window with a term that occurs
+1. Occurrences of all benchmark terms are counted over the whole corpus. A window with a term that occurs
    nowhere can't occur itself.
-2. Postings (document, term, position) are stored for the two rarest terms of each window that is left. They are spread by document and
-   position; a posting also holds the words around it, as far as a window may reach, so that no text is read or shuffled again.
-3. The postings of a window's rarest term, moved by its offset in the window, are the candidate starts. They are intersected with the
-   moved postings of the second rarest term, and what is left is compared with all words of the window: exact phrases.
-   For proximity matches, the two rarest terms' postings of one document are joined by near positions instead.
+2. Posting lists (document, term, position) are stored for the two rarest terms of each window that is left. A posting of a window's rarest term
+   also holds the words around it, as far as a window may reach, so that no text is read or shuffled again.
+3. The lists of the two terms are moved by their offsets in the window and intersected: joined on document, pair of terms and moved position. What is left is
+   compared with all words of the windows: exact phrases. For proximity matches, the same lists are joined by near positions instead.
 
-Both sides grow at most with the benchmark (terms, windows) or with the matches. Terms go into the scan's filter in blocks of TERMS.
+Windows that slide over the same two terms share the pair, and so one intersection. The benchmark's terms are broadcast after a check of their size; beyond SEND_BYTES the same joins are
+shuffled ones, with the counts aggregated before.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from claimloom.llm.common import materialise, table
+from claimloom.llm.common import materialise, private, table
 
 WINDOW = 13
 #: Share of hit words from which a document is contaminated: 20 * n_hit >= n_words.
@@ -30,8 +28,8 @@ SHARE = 20
 SEPARATORS = r"[\x00-/:-@\[-`{-\x7F]+"
 EDGES = "".join(chr(c) for c in range(128) if not chr(c).isalnum())
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-#: Terms in one block of the scan's filter: a set that each task holds.
-TERMS = 100_000
+#: Bytes of terms that may be broadcast.
+SEND_BYTES = 64 << 20
 
 
 def words_of(text: Column) -> Column:
@@ -52,21 +50,25 @@ def windows_of(benchmark: DataFrame, width: int = WINDOW) -> DataFrame:
     return items.select("item_id", F.explode(F.transform(starts, lambda i: F.slice("w", i, width))).alias("window")).distinct()
 
 
-def _blocks(df: DataFrame, column: str, size: int) -> list[list[str]]:
-    """The distinct values of a benchmark column, in blocks. It is the benchmark that comes to the driver, never the corpus."""
-    values = sorted(r[0] for r in df.select(column).distinct().toLocalIterator())
-    return [values[a : a + size] for a in range(0, len(values), size)]
+def sendable(terms: DataFrame, send_bytes: int = SEND_BYTES) -> DataFrame | None:
+    """A written table of terms as one to be broadcast, or None if it is larger than the bound."""
+    size = terms.agg(F.sum(F.octet_length("term") + 64)).first()[0] or 0
+    return F.broadcast(terms) if size <= send_bytes else None
 
 
-def _among(values: list[str]):
-    return lambda x: x.isin(values)
+def places(docs: DataFrame) -> DataFrame:
+    """(doc, part, w, pos, term): every word of the corpus, in lower case of all letters, with its document's words."""
+    w = docs.select("doc", "part", words_of(F.col("text")).alias("w")).where(F.size("w") > 0)
+    return w.select("doc", "part", "w", F.posexplode("w").alias("pos", "term")).withColumn("term", F.lower("term"))
 
 
-def term_counts(docs: DataFrame, terms: DataFrame) -> DataFrame:
-    """(term, n): occurrences in the corpus of each term (column term, in lower case of all letters)."""
-    words = docs.select(F.transform(words_of(F.col("text")), F.lower).alias("w"))
-    each = [words.select(F.explode(F.filter("w", _among(b))).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n")) for b in _blocks(terms, "term", TERMS)]
-    return reduce(DataFrame.unionByName, each) if each else words.sparkSession.createDataFrame([], "term string, n long")
+def term_counts(docs: DataFrame, terms: DataFrame, send_bytes: int = SEND_BYTES) -> DataFrame:
+    """(term, n): occurrences in the corpus of each term (a written table of distinct terms)."""
+    words, few = places(docs).select("term"), sendable(terms, send_bytes)
+    count = F.count(F.lit(1)).alias("n")
+    if few is None:
+        return words.groupBy("term").agg(count).join(terms, "term")
+    return words.join(few, "term").groupBy("term").agg(count)
 
 
 def keyed(docs: DataFrame) -> DataFrame:
@@ -75,73 +77,74 @@ def keyed(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", "text", doc.alias("doc"), F.xxhash64(F.col("doc_id").isNull(), "text").alias("part"))
 
 
-def postings(docs: DataFrame, terms: DataFrame, width: int = WINDOW) -> DataFrame:
-    """(doc, part, term, pos, first, around): every place of the terms; around holds the words from position first on, in A-Z lower case, up to
-    width - 1 on either side."""
-    out = []
-    for block in _blocks(terms, "term", TERMS):
-        w = docs.select("doc", "part", words_of(F.col("text")).alias("w")).where(F.size("w") > 0)
-        lowered = F.transform("w", lambda x, i: F.struct(F.lower(x).alias("term"), i.alias("pos")))
-        among = _among(block)
-        found = F.filter(lowered, lambda x: among(x["term"]))
-        near = F.transform(
-            found,
-            lambda x: F.struct(
-                x["term"].alias("term"),
-                x["pos"].alias("pos"),
-                F.greatest(x["pos"] - (width - 1), F.lit(0)).alias("first"),
-                F.transform(F.slice(F.col("w"), F.greatest(x["pos"] - (width - 1), F.lit(0)) + 1, F.least(x["pos"], F.lit(width - 1)) + width), folded).alias("around"),
-            ),
-        )
-        out.append(w.select("doc", "part", F.inline(near)))
-    return reduce(DataFrame.unionByName, out) if out else docs.select("doc", "part", F.lit("").alias("term"), F.lit(0).alias("pos"), F.lit(0).alias("first"), F.array(F.lit("")).alias("around")).limit(0)
+def postings(docs: DataFrame, terms: DataFrame, width: int = WINDOW, send_bytes: int = SEND_BYTES) -> DataFrame:
+    """(doc, part, term, pos, first, around): every place of the terms (a written table with leads). For those that lead, around holds the words from position first on, up to width - 1 on
+    either side, as the text has them."""
+    few = sendable(terms, send_bytes)
+    found = places(docs).join(terms if few is None else few, "term")
+    first = F.greatest(F.col("pos") - (width - 1), F.lit(0))
+    around = F.slice("w", first + 1, F.least(F.col("pos"), F.lit(width - 1)) + width)
+    return found.select("doc", "part", "term", "pos", first.alias("first"), F.when(F.col("leads"), around).alias("around"))
 
 
 class PositionalIndex:
-    """Postings of the terms that a benchmark's windows need, rarest terms first."""
+    """Posting lists of the terms that a benchmark's windows need, rarest terms first."""
 
-    def __init__(self, docs: DataFrame, benchmark: DataFrame, width: int = WINDOW):
+    def __init__(self, docs: DataFrame, benchmark: DataFrame, width: int = WINDOW, send_bytes: int = SEND_BYTES):
         self.width = width
-        items = materialise(windows_of(benchmark, width).withColumn("window_id", F.xxhash64("window")))
-        self.items = items.select("window_id", "item_id")
-        windows = items.select("window_id", "window").dropDuplicates(["window_id"])
-        terms = materialise(windows.select("window_id", F.posexplode("window").alias("offset", "word")).withColumn("term", F.lower("word")))
-        self.frequency = materialise(term_counts(docs, terms))
-        order = Window.partitionBy("window_id").orderBy("n", "offset")
+        found = materialise(windows_of(benchmark, width))
+        numbered = materialise(found.select("window").distinct().withColumn("window_id", F.monotonically_increasing_id()))
+        self.items = materialise(found.join(numbered, "window").select("window_id", "item_id"))
+        terms = materialise(numbered.select("window_id", F.posexplode("window").alias("offset", "term")).withColumn("term", F.lower("term")))
+        self.frequency = materialise(term_counts(docs, materialise(terms.select("term").distinct()), send_bytes))
+        order = Window.partitionBy("window_id").orderBy("n", "term", "offset")
         rare = terms.join(self.frequency, "term", "left").withColumn("n", F.coalesce("n", F.lit(0)))
         rare = rare.withColumn("rank", F.row_number().over(order)).where("rank <= 2").groupBy("window_id").agg(
             F.min("n").alias("n"),
             F.min_by("term", "rank").alias("term"),
             F.min_by("offset", "rank").alias("offset"),
             F.max_by("term", "rank").alias("term2"),
-            F.max_by("offset", "rank").alias("offset2"),
+            (F.max_by("offset", "rank") - F.min_by("offset", "rank")).alias("apart"),
         )
-        #: window_id, window, its rarest and second rarest term and their offsets; only windows all of whose terms occur
-        self.windows = materialise(windows.join(rare.where("n > 0"), "window_id"))
-        needed = self.windows.select("term")
-        self.postings = materialise(postings(docs, needed, width))
+        #: window_id, window, its rarest term and that one's offset, its second rarest term and how far behind the first it stands; only windows all of whose terms occur
+        self.windows = materialise(numbered.join(rare.where("n > 0"), "window_id"))
+        #: what windows share: two terms and their distance; a window of one word has its only one twice
+        self.pairs = materialise(self.windows.select("term", "term2", "apart").distinct().withColumn("pair", F.monotonically_increasing_id()))
+        both = self.windows.select("term", F.lit(True).alias("leads")).unionByName(self.windows.select(F.col("term2").alias("term"), F.lit(False).alias("leads")))
+        self.postings = materialise(postings(docs, materialise(both.groupBy("term").agg(F.max("leads").alias("leads"))), width, send_bytes))
+
+    def lists(self) -> tuple[DataFrame, DataFrame]:
+        """(doc, part, pair, pos, first, around) and (doc, part, pair, pos, moved): the posting lists of each pair's first and second term; moved is where its first would stand."""
+        one = self.postings.where("around is not null").join(self.pairs.select("term", "pair"), "term")
+        two = self.postings.select("doc", "part", F.col("term").alias("term2"), "pos").join(self.pairs.select("term2", "apart", "pair"), "term2")
+        return one.select("doc", "part", "pair", "pos", "first", "around"), two.select("doc", "part", "pair", "pos", (F.col("pos") - F.col("apart")).alias("moved"))
 
     def phrases(self) -> DataFrame:
         """(doc, part, window_id, start, length): all occurrences of windows, each row of the corpus on its own."""
-        w = self.windows
-        at = self.postings.join(w.select("term", "offset", "term2", "offset2", "window", "window_id"), "term")
+        one, two = self.lists()
+        place = ["doc", "part", "pair", "pos"]
+        met = materialise(one.select(*place).join(two.select("doc", "part", "pair", F.col("moved").alias("pos")), place, "left_semi").distinct())  # places only: no words are shuffled for it
+        at = one.join(met, place).withColumn("around", F.transform("around", folded))
+        of = self.windows.join(self.pairs, ["term", "term2", "apart"]).select("pair", "window_id", "window", "offset")
+        at = at.join(of, "pair")
         start = F.col("pos") - F.col("offset")
-        local = F.greatest(start - F.col("first") + 1, F.lit(1))  # where the window would begin in around
-        at = at.where(start >= F.col("first"))
-        # the second rarest term must stand at its own offset; then all words must agree
-        at = at.where(F.lower(F.try_element_at("around", local + F.col("offset2"))) == F.col("term2"))
-        at = at.where(F.slice("around", local, F.size("window")) == F.col("window"))
+        at = at.where((start >= F.col("first")) & (F.slice("around", F.greatest(start - F.col("first") + 1, F.lit(1)), F.size("window")) == F.col("window")))
         return at.select("doc", "part", "window_id", start.alias("start"), F.size("window").alias("length"))
 
     def proximity(self, within: int) -> DataFrame:
-        """(doc, part, window_id, pos, share): places of a window's rarest term with at least its second rarest term near (at most
-        within words apart, below the index's width), and the share of the window's distinct words that stand there."""
-        at = self.postings.join(self.windows.select("term", "term2", "window", "window_id"), "term")
+        """(doc, part, window_id, pos, share): places of a window's rarest term with its second rarest term at most within words away (1 to the index's width less 1), and the share of the window's
+        distinct words that stand as near. The lists are joined by stretches of within words."""
+        one, two = self.lists()
+        stretch = F.floor(F.col("pos") / within)
+        two = two.select("doc", "part", "pair", F.col("pos").alias("other"), stretch.alias("s"))
+        one = one.withColumn("s", F.explode(F.array(stretch - 1, stretch, stretch + 1)))
+        at = one.join(two, ["doc", "part", "pair", "s"]).where(F.col("other").between(F.col("pos") - within, F.col("pos") + within) & (F.col("other") != F.col("pos")))
+        at = at.select("doc", "part", "pair", "pos", "first", F.transform("around", folded).alias("around")).distinct()
+        of = self.windows.where("size(window) > 1").join(self.pairs, ["term", "term2", "apart"]).select("pair", "window_id", "window")
         low = F.greatest(F.col("pos") - F.col("first") - within + 1, F.lit(1))
         near = F.slice("around", low, F.col("pos") - F.col("first") + within + 2 - low)
-        at = at.withColumn("near", near).where(F.exists("near", lambda x: F.lower(x) == F.col("term2")))
-        share = F.size(F.array_intersect("window", "near")) / F.size(F.array_distinct("window"))
-        return at.select("doc", "part", "window_id", "pos", share.alias("share"))
+        share = F.size(F.array_intersect("window", near)) / F.size(F.array_distinct("window"))
+        return at.join(of, "pair").select("doc", "part", "window_id", "pos", share.alias("share"))
 
 
 def hits(index: PositionalIndex) -> DataFrame:
@@ -182,11 +185,11 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW) ->
 def clean(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW) -> DataFrame:
     """The rows of docs, with all their columns, that aren't contaminated."""
     names = docs.columns
-    key = F.coalesce(F.col("doc_id").cast("long"), F.lit(-(2**63)))
-    found = hits(PositionalIndex(keyed(docs), benchmark, width)).select(F.col("doc").alias("_doc"), F.col("part").alias("_part"), F.col("n_hit").alias("_hit"))
-    rows = docs.withColumn("_doc", key).withColumn("_part", F.xxhash64(F.col("doc_id").isNull(), "text"))
-    rows = rows.join(materialise(found), ["_doc", "_part"], "left")
-    return rows.where(F.col("_hit").isNull() | (SHARE * F.col("_hit") < F.size(words_of(F.col("text"))))).select(*names)
+    doc, part, hit = (private(names, n) for n in ("doc", "part", "hit"))
+    found = hits(PositionalIndex(keyed(docs), benchmark, width)).select(F.col("doc").alias(doc), F.col("part").alias(part), F.col("n_hit").alias(hit))
+    rows = docs.withColumn(doc, F.coalesce(F.col("doc_id").cast("long"), F.lit(-(2**63)))).withColumn(part, F.xxhash64(F.col("doc_id").isNull(), "text"))
+    rows = rows.join(materialise(found), [doc, part], "left")
+    return rows.where(F.col(hit).isNull() | (SHARE * F.col(hit) < F.size(words_of(F.col("text"))))).select(*names)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
