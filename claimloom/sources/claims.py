@@ -95,15 +95,15 @@ def _typed(ddl: str) -> str:
 
 def read_features(spark: SparkSession, paths: str | list[str], number: str, columns: dict[str, str]) -> DataFrame:
     """(number, columns) of the features' properties in GeoJSON files, one row for each number: that of the last file by name, and there the last feature."""
-    raw = spark.read.text(paths, wholetext=True).select(F.col("_metadata.file_name").alias("_f"), F.posexplode(F.from_json(F.get_json_object("value", "$.features[*].properties"), "array<string>")).alias("_n", "p"))
-    pick = lambda c, t: F.get_json_object("p", f"$.{c}").cast(t).alias(c)
+    raw = spark.read.text(paths, wholetext=True).select(F.col("_metadata.file_name").alias("_f"), F.posexplode(F.from_json(F.get_json_object("value", "$.features"), "array<string>")).alias("_n", "p"))
+    pick = lambda c, t: F.get_json_object("p", f"$.properties.{c}").cast(t).alias(c)
     rows = raw.select("_f", "_n", pick(number, "string"), *(pick(c, t) for c, t in columns.items())).where(F.col(number).isNotNull())
     return rows.groupBy(number).agg(F.max_by(F.struct(*columns), F.struct("_f", "_n")).alias("r")).select(number, "r.*")
 
 
 def key_values(doc: Column) -> Column:
     """A map from a list of {key, value} that is JSON, or JSON inside a JSON string; empty if it is neither."""
-    inner = F.coalesce(F.from_json(doc, "string"), doc)
+    inner = F.coalesce(F.get_json_object(F.concat(F.lit('{"d":'), doc, F.lit("}")), "$.d"), doc)
     pairs = F.coalesce(F.from_json(inner, "array<struct<key: string, value: string>>"), F.array().cast("array<struct<key:string,value:string>>"))
     return F.map_from_entries(F.filter(pairs, lambda p: p["key"].isNotNull()))
 
